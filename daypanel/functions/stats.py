@@ -49,9 +49,11 @@ def ewm(df: DataFrame, value: str, out: str, span: int, min_count: int, block: i
 
     Within a block of rows the weighted sums are running sums with growing weights, so each row
     costs O(1); the end of the block before enters decayed.  Blocks further back weigh less than
-    2e-16 of the result and drop out, which keeps the numbers in range for any series length.
-    A null row repeats the last value.  ``df`` comes from :func:`with_blocks`.
+    1e-17 of the result and drop out, which keeps the numbers in range for any series length.
+    A null row repeats the last value.  ``df`` comes from :func:`with_blocks` with the same block.
     """
+    if not 20 * (span + 1) <= block <= 300 * (span + 1) or span < 2:
+        raise ValueError("block must be between 20 and 300 times span + 1, and span at least 2")
     growth = 1.0 / (1.0 - 2.0 / (span + 1.0))
     ordered = Window.partitionBy(ENTITY).orderBy("_blk", DAY)
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daypanel.core import DAY, ENTITY, ensure_columns, numeric
@@ -98,12 +98,17 @@ def with_interval(corr: DataFrame, confidence: float = 0.95) -> DataFrame:
     )
 
 
+def size(r: Column) -> Column:
+    """Absolute r to twelve digits, so that equal values differing in rounding noise are ties."""
+    return F.round(F.abs(r), 12)
+
+
 def best_lags(corr: DataFrame) -> DataFrame:
     """Per (entity, metric) the lag of largest absolute r, ties to the smallest lag."""
     usable = F.col("r").isNotNull()
     pick = F.max_by(
         F.struct("lag", "r", "n"),
-        F.when(usable, F.struct(F.abs("r").alias("size"), (-F.col("lag")).alias("first"))),
+        F.when(usable, F.struct(size(F.col("r")).alias("size"), (-F.col("lag")).alias("first"))),
     )
     best = corr.groupBy(ENTITY, "metric").agg(pick.alias("b"), F.bool_or(usable).alias("any"))
     best = best.withColumn("b", F.when(F.col("any"), F.col("b")))
@@ -129,7 +134,7 @@ def best_lag_bars(daily: DataFrame, nutrients: Sequence[str], max_lag: int = 3,
     usable = F.col("r").isNotNull()
     shown = F.max_by(
         F.struct("lag", "r", "n", "p", "significant", "ci_low", "ci_high"),
-        F.when(usable, F.struct(F.abs("r").alias("size"), (-F.col("lag")).alias("first"))),
+        F.when(usable, F.struct(size(F.col("r")).alias("size"), (-F.col("lag")).alias("first"))),
     )
     same = F.max(F.when(F.col("lag") == 0, F.struct("r", "n", "p", "significant", "ci_low", "ci_high")))
     out = corr.groupBy(ENTITY, "metric").agg(shown.alias("b"), same.alias("s"))
@@ -145,7 +150,7 @@ def best_lag_bars(daily: DataFrame, nutrients: Sequence[str], max_lag: int = 3,
 def strongest_driver(bars: DataFrame) -> DataFrame:
     """Per entity the nutrient of largest same-day absolute r, with its best lag."""
     ranked = bars.filter("r_lag0 is not null")
-    spec = Window.partitionBy(ENTITY).orderBy(F.abs("r_lag0").desc(), "metric")
+    spec = Window.partitionBy(ENTITY).orderBy(size(F.col("r_lag0")).desc(), "metric")
     top = ranked.withColumn("_k", F.row_number().over(spec)).filter("_k = 1")
     return top.select(
         ENTITY, F.col("metric").alias("nutrient"), F.col("r_lag0").alias("r"), F.col("p_lag0").alias("p"),

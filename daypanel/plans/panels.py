@@ -1,6 +1,7 @@
 """Panels built from the star-schema and event tables, standing in for the personal tables.
 
-Constants only move values into plausible ranges.  Base values are rounded where they are built.
+Constants only move values into plausible ranges.  They are decimal fractions with many factors
+of two, so that means of small groups do not end on a rounding half.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ def total(kind: str) -> Column:
     return F.round(F.sum(F.when(F.col("event_type") == kind, F.col("value"))), 2)
 
 
-def mean(kind: str) -> Column:
-    return F.round(F.avg(F.when(F.col("event_type") == kind, F.col("value"))), 6)
+def top(kind: str) -> Column:
+    return F.max(F.when(F.col("event_type") == kind, F.col("value")))
 
 
 def zero(c: Column) -> Column:
@@ -34,27 +35,27 @@ def zero(c: Column) -> Column:
 def event_columns() -> dict[str, Column]:
     return {
         "energy": 1400 + 4 * F.round(F.sum("value"), 2),
-        "protein": zero(total("click")),
-        "carbs": zero(total("purchase")),
-        "fat": zero(total("signup")) / 2,
-        "fiber": zero(total("error")) / 10,
-        "sodium": 10 * zero(total("view")) + zero(total("click")),
-        "water": zero(total("signup")) + zero(total("error")),
-        "weight": 78 + mean("view") / 25,
-        "w_steps": 100 * total("signup"),
-        "w_distance_m": 70 * total("signup") + 10 * zero(total("click")),
-        "w_active_kcal": 5 * total("click"),
-        "w_resting_hr": 50 + mean("purchase") / 10,
-        "w_sleep_seconds": 18000 + 100 * mean("view"),
-        "w_sleep_score": 40 + mean("error") / 5,
-        "w_avg_stress": mean("error"),
-        "w_body_battery_max": 60 + mean("signup") / 10,
-        "w_body_battery_min": mean("click") / 10,
-        "w_moderate_min": total("purchase") / 5,
-        "w_vigorous_min": total("error") / 10,
+        "protein": 0.32 * zero(total("click")),
+        "carbs": 0.32 * zero(total("purchase")),
+        "fat": 0.16 * zero(total("signup")),
+        "fiber": 0.032 * zero(total("error")),
+        "sodium": 3.2 * zero(total("view")) + 0.32 * zero(total("click")),
+        "water": 0.32 * (zero(total("signup")) + zero(total("error"))),
+        "weight": 78 + 0.032 * top("view"),
+        "w_steps": 96 * total("signup"),
+        "w_distance_m": 64 * total("signup") + 8 * zero(total("click")),
+        "w_active_kcal": 4 * total("click"),
+        "w_resting_hr": 50 + 0.064 * top("purchase"),
+        "w_sleep_seconds": 18000 + 96 * top("view"),
+        "w_sleep_score": 40 + 0.064 * top("error"),
+        "w_avg_stress": 0.32 * top("error"),
+        "w_body_battery_max": 60 + 0.064 * top("signup"),
+        "w_body_battery_min": 0.064 * top("click"),
+        "w_moderate_min": 0.16 * total("purchase"),
+        "w_vigorous_min": 0.064 * total("error"),
         "w_session_count": F.count(F.when(F.col("event_type") == "click", 1)).cast("int"),
-        "w_hrv": 30 + mean("signup") / 4,
-        "w_respiration": 12 + mean("view") / 40,
+        "w_hrv": 30 + 0.064 * top("signup"),
+        "w_respiration": 12 + 0.016 * top("view"),
     }
 
 
@@ -92,21 +93,20 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey", F.col("o_orderdate").cast("date").alias(DAY))
-        .agg(F.sum("o_totalprice").alias("price"), F.count(F.lit(1)).alias("n"))
+        .agg(F.max("o_totalprice").alias("price"), F.count(F.lit(1)).alias("n"))
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     joined = orders.join(customers, orders.o_custkey == customers.c_custkey)
-    price = F.round(F.round(F.sum("price"), 2) / F.sum("n"), 6)
-    balance = F.round(F.round(F.sum(F.col("c_acctbal") * F.col("n")), 2) / F.sum("n"), 6)
+    price, balance, n = F.max("price"), F.max("c_acctbal"), F.sum("n")
     return joined.groupBy(F.col("c_nationkey").cast("bigint").alias(ENTITY), DAY).agg(
-        (1500 + price / 100).alias("energy"),
-        (60 + balance / 500).alias("weight"),
-        (balance / 50).alias("protein"),
-        (100.0 * F.sum("n")).alias("carbs"),
-        (price / 5000).alias("fat"),
-        F.sum("n").cast("double").alias("fiber"),
-        (balance / 2).alias("sodium"),
-        (price / 1000).alias("water"),
+        (1500 + 0.0128 * price).alias("energy"),
+        (60 + 0.0032 * balance).alias("weight"),
+        (0.0128 * balance).alias("protein"),
+        (128.0 * n).alias("carbs"),
+        (0.00032 * price).alias("fat"),
+        n.cast("double").alias("fiber"),
+        (0.32 * balance).alias("sodium"),
+        (0.0032 * price).alias("water"),
     )
 
 
@@ -132,8 +132,8 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("session_name"), kind.alias("session_type"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
         F.col("value").alias("duration_min"), (F.col("value") * 5).alias("kcal"),
-        F.when(F.col("event_type") != "error", F.col("value") / 10 + 90).alias("avg_hr"),
-        F.when(F.col("event_type") != "error", F.col("value") / 5 + 110).alias("max_hr"),
+        F.when(F.col("event_type") != "error", F.col("value") * 0.064 + 90).alias("avg_hr"),
+        F.when(F.col("event_type") != "error", F.col("value") * 0.128 + 110).alias("max_hr"),
         (F.col("value") / 100).alias("training_effect"), (F.col("value") / 2).alias("training_load"),
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from daypanel.core import DAY
 from daypanel.sources.tables import path_exists
 
-CURRENT = "_current"
+CURRENT = "CURRENT"
 STORE_TABLES = ("daily", "sessions", "samples")
 WHOLE = "all"
 # Pointer lines that note the last merged batch of a stream instead of a part of the table.
