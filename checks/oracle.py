@@ -812,6 +812,12 @@ oracle(
     "duration_min kcal distance_m avg_hr max_hr training_effect training_load",
 )
 
+oracle(
+    "payload_session_days",
+    "SELECT entity, day, sum(duration_min) AS w_session_min, sum(kcal) AS w_session_kcal, avg(avg_hr) AS w_session_avg_hr, NULL::DOUBLE AS w_session_max_hr FROM ss GROUP BY 1, 2",
+    "w_session_min w_session_kcal w_session_avg_hr w_session_max_hr",
+)
+
 # --- trends and goals
 CTES["wt"] = (
     f"SELECT *, {BACK} AS back, min(day) OVER (PARTITION BY entity) AS d0, min(day) FILTER (WHERE back90) OVER (PARTITION BY entity) AS d90 "

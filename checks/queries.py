@@ -530,6 +530,14 @@ def payload_samples(spark, sf_dir):
     return payload.normalise(panels.landed_payloads(spark, sf_dir))[2]
 
 
+@query("payload_session_days")
+def payload_session_days(spark, sf_dir):
+    """Daily session totals from the session lists of the day, without details."""
+    landed, _ = landed_session_payloads(spark, sf_dir)
+    days = payload.daily_rows(payload.payloads_by_endpoint(landed))
+    return days.select(*KEYS, *ses.SESSION_DAILY)
+
+
 def landed_session_payloads(spark, sf_dir):
     """Session lists per day in three wrappers, as JSON text, and detail payloads for some."""
     rows = panels.sessions(spark, sf_dir).withColumn("variant", F.col(ENTITY) % 3)

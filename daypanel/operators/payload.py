@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daypanel.core import DAY, ENTITY, KEYS, SAMPLE_TYPES, SESSION_TYPES, WEARABLE_TYPES, conform
 from daypanel.functions import payloads as pl
 from daypanel.functions.scalars import session_group
-from daypanel.operators.sessions import sample_daily, session_daily
+from daypanel.operators.sessions import session_daily
 
 # The endpoints landed per day.
 ENDPOINTS = [
@@ -151,14 +151,18 @@ def hrv_value(payload: Column, v: Column, day: Column) -> Column:
     return F.coalesce(first_hit, listed, *anywhere)
 
 
+def session_items(activity: Column) -> Column:
+    """The session objects of an activity payload."""
+    return pl.objects_only(pl.list_at(activity, LIST_PATHS))
+
+
 def session_rows(by_endpoint: DataFrame, details: DataFrame | None = None) -> DataFrame:
     """One row per landed session; keys of a landed detail payload override the summary's.
 
     ``details`` has (entity, session_id, payload).
     """
-    items = pl.objects_only(pl.list_at(F.col("_a"), LIST_PATHS))
     rows = by_endpoint.select(*KEYS, pl.parsed(F.col("activity")).alias("_a")).select(
-        *KEYS, F.explode(items).alias("_s")
+        *KEYS, F.explode(session_items(F.col("_a"))).alias("_s")
     )
     rows = rows.withColumn("_sid", pl.int_value(F.col("_s"), SESSION_ID_PATHS))
     if details is not None:
@@ -186,33 +190,71 @@ def session_columns(
     return conform(rows, SESSION_TYPES)
 
 
-def sample_rows(by_endpoint: DataFrame) -> DataFrame:
-    """Intraday samples: a list of objects, or an object whose keys are digits."""
-    rows = by_endpoint.filter(F.col("heart_rate").isNotNull()).select(*KEYS, pl.parsed(F.col("heart_rate")).alias("_v"))
-    v = F.col("_v")
+def sample_items(v: Column) -> Column:
+    """Samples of a parsed heart-rate payload as array<struct<sample_ts, bpm>>.
+
+    A list of objects under a known key; otherwise an object whose keys are digits.
+    """
     held = pl.list_at(v, SAMPLE_LIST_PATHS, bare=False)
-    as_struct = "struct<sample_ts:string,bpm:double>"
+    as_array = "array<struct<sample_ts:string,bpm:double>>"
     from_list = F.transform(
         pl.objects_only(held),
         lambda s: F.struct(
             pl.text_value(s, SAMPLE_TIME_PATHS).alias("sample_ts"), pl.number_value(s, SAMPLE_VALUE_PATHS).alias("bpm")
         ),
-    ).cast(f"array<{as_struct}>")
+    ).cast(as_array)
     entries = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
     digits = F.filter(entries, lambda e: e["key"].rlike("^[0-9]+$"))
     from_keys = F.transform(
         digits, lambda e: F.struct(e["key"].alias("sample_ts"), is_number(e["value"], []).alias("bpm"))
-    ).cast(f"array<{as_struct}>")
-    rows = rows.select(*KEYS, F.inline(F.when(held.isNotNull(), from_list).otherwise(from_keys)))
-    return conform(rows.filter("sample_ts is not null and bpm is not null"), SAMPLE_TYPES)
+    ).cast(as_array)
+    items = F.when(held.isNotNull(), from_list).otherwise(from_keys)
+    return F.filter(items, lambda i: i["sample_ts"].isNotNull() & i["bpm"].isNotNull())
+
+
+def sample_rows(by_endpoint: DataFrame) -> DataFrame:
+    """One row per intraday sample."""
+    rows = by_endpoint.filter(F.col("heart_rate").isNotNull()).select(*KEYS, pl.parsed(F.col("heart_rate")).alias("_v"))
+    return conform(rows.select(*KEYS, F.inline(sample_items(F.col("_v")))), SAMPLE_TYPES)
+
 
+def known(values: Column) -> Column:
+    return F.filter(values, lambda x: x.isNotNull())
 
-def daily_rows(by_endpoint: DataFrame, sessions: DataFrame, samples: DataFrame) -> DataFrame:
-    """The flat wearable day: payload fields plus the summaries of sessions and samples."""
+
+def total_of(values: Column) -> Column:
+    return F.aggregate(known(values), F.lit(0.0), lambda a, x: a + x)
+
+
+def mean_of(values: Column) -> Column:
+    return F.try_divide(total_of(values), F.nullif(F.size(known(values)), F.lit(0)))
+
+
+def session_summary(items: Column) -> dict[str, Column]:
+    """The daily session summary straight from the day's session objects, no join needed."""
+    each = lambda paths: F.transform(items, lambda s: pl.number_value(s, paths))
+    minutes = F.transform(items, lambda s: pl.duration_minutes(s, SESSION_MINUTE_PATHS, SESSION_SECOND_PATHS))
+    some = F.size(items) > 0
+    return {
+        "w_session_min": F.when(some, total_of(minutes)),
+        "w_session_kcal": F.when(some, total_of(each(SESSION_NUMBER_PATHS["kcal"]))),
+        "w_session_avg_hr": F.when(some, mean_of(each(SESSION_NUMBER_PATHS["avg_hr"]))),
+        "w_session_max_hr": F.when(some, F.array_max(each(SESSION_NUMBER_PATHS["max_hr"]))),
+    }
+
+
+def daily_rows(by_endpoint: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+    """The flat wearable day: payload fields plus the summaries of its samples and sessions.
+
+    Everything of a day is in one row, so one pass without a join builds it.  Only when session
+    details override the summaries, the daily session totals come from ``sessions``.
+    """
     v = {e: F.col(f"_{e}") for e in ENDPOINTS}
     rows = by_endpoint.withColumns({f"_{e}": pl.parsed(F.col(e)) for e in ENDPOINTS})
+    rows = rows.withColumns({"_samples": sample_items(v["heart_rate"]), "_sessions": session_items(v["activity"])})
     intensity = F.coalesce(v["intensity"], v["summary"])
     high, low = battery_bounds(F.col("body_battery"), v["body_battery"])
+    bpm = F.col("_samples.bpm")
     fields = {c: pl.number_value(v[e], paths) for c, (e, paths) in DAILY_PATHS.items()}
     fields |= {
         "w_body_battery_max": high,
@@ -220,11 +262,17 @@ def daily_rows(by_endpoint: DataFrame, sessions: DataFrame, samples: DataFrame)
         "w_moderate_min": pl.duration_minutes(intensity, MINUTE_PATHS["moderate"], SECOND_PATHS["moderate"]),
         "w_vigorous_min": pl.duration_minutes(intensity, MINUTE_PATHS["vigorous"], SECOND_PATHS["vigorous"]),
         "w_session_count": activity_count(v["summary"], v["activity"]),
+        "w_hr_min": F.array_min(bpm),
+        "w_hr_max": F.array_max(bpm),
+        "w_hr_avg": mean_of(bpm),
         "w_hrv": hrv_value(F.col("hrv"), v["hrv"], F.col(DAY)),
         "w_training_status": pl.text_value(v["training_status"], STATUS_PATHS),
     }
+    if sessions is None:
+        fields |= session_summary(F.col("_sessions"))
     flat = rows.select(*KEYS, *(e.alias(c) for c, e in fields.items()))
-    flat = flat.join(session_daily(sessions), KEYS, "left").join(sample_daily(samples), KEYS, "left")
+    if sessions is not None:
+        flat = flat.join(session_daily(sessions), KEYS, "left")
     return conform(flat, WEARABLE_TYPES)
 
 
@@ -232,5 +280,5 @@ def normalise(landed: DataFrame, details: DataFrame | None = None) -> tuple[Data
     """Daily, session and sample rows of landed payloads (entity, day, endpoint, payload)."""
     by_endpoint = payloads_by_endpoint(landed)
     sessions = session_rows(by_endpoint, details)
-    samples = sample_rows(by_endpoint)
-    return daily_rows(by_endpoint, sessions, samples), sessions, samples
+    daily = daily_rows(by_endpoint, None if details is None else sessions)
+    return daily, sessions, sample_rows(by_endpoint)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daypanel.core import DAY, ENTITY, from_end, tail_rows, up_to_here, whole
+from daypanel.core import DAY, ENTITY, ensure_columns, from_end, tail_rows, up_to_here, whole
 from daypanel.functions import scalars as sc
 from daypanel.operators.metrics import Goals
 from daypanel.operators.rollup import first_value, last_value
@@ -61,8 +61,10 @@ def weight_trends(daily: DataFrame, recent_rows: int = 90) -> DataFrame:
 
 def smoothed_fit(daily: DataFrame, rows: int = 30) -> DataFrame:
     """Line through the last smoothed points by position, with the deviation of the residuals."""
-    recent = tail_rows(daily.select(ENTITY, DAY, "weight_smoothed"), rows)
-    recent = recent.withColumn("_last_day", F.max(DAY).over(whole())).filter("weight_smoothed is not null")
+    recent = tail_rows(ensure_columns(daily, {"energy": "double"}).select(ENTITY, DAY, "weight_smoothed", "energy"), rows)
+    recent = recent.withColumns(
+        {"_last_day": F.max(DAY).over(whole()), "_intake": F.avg("energy").over(whole())}
+    ).filter("weight_smoothed is not null")
     recent = recent.withColumn("_i", (F.count(F.lit(1)).over(up_to_here()) - 1).cast("double"))
     y, i = F.col("weight_smoothed"), F.col("_i")
     recent = recent.withColumns(
@@ -76,6 +78,7 @@ def smoothed_fit(daily: DataFrame, rows: int = 30) -> DataFrame:
         F.stddev_pop(residual).alias("deviation"),
         last_value("weight_smoothed").alias("last_weight"),
         F.max("_last_day").alias("last_day"),
+        F.max("_intake").alias("recent_intake"),
     )
     return fit.filter("points > 1")
 
@@ -99,12 +102,8 @@ def projection(daily: DataFrame, days: int = PROJECTION_DAYS) -> DataFrame:
 
 def scenario_summary(daily: DataFrame, est: DataFrame, target: float) -> DataFrame:
     """Four intake scenarios per entity: intake, daily change, days and date to the target."""
-    recent = tail_rows(daily.select(ENTITY, DAY, "energy"), 30).groupBy(ENTITY).agg(F.avg("energy").alias("recent_intake"))
-    base = (
-        smoothed_fit(daily)
-        .join(recent, ENTITY)
-        .join(est.select(ENTITY, "weighted_average").filter("weighted_average is not null"), ENTITY)
-    )
+    known = est.select(ENTITY, "weighted_average").filter("weighted_average is not null")
+    base = smoothed_fit(daily).join(known, ENTITY)
     best = F.col("weighted_average")
     choices = [F.struct(F.lit(n).alias("scenario"), (best + d).alias("kcal")) for n, d in SCENARIOS]
     choices.append(F.struct(F.lit(CURRENT_SCENARIO).alias("scenario"), F.col("recent_intake").alias("kcal")))
@@ -113,11 +112,9 @@ def scenario_summary(daily: DataFrame, est: DataFrame, target: float) -> DataFra
     gap, rate = F.col("last_weight") - target, F.col("daily_kg")
     reaches = (F.abs(rate) > 1e-5) & (gap * rate < 0)
     rows = rows.withColumn("days_to_target", F.when(reaches, F.abs(F.try_divide(gap, F.nullif(rate, F.lit(0.0))))))
-    # A date further away than the calendar holds stays null.
-    whole_days = F.floor("days_to_target")
-    date = F.when(whole_days < 2_000_000, F.date_add("last_day", whole_days.try_cast("int")))
     return rows.select(
-        ENTITY, "scenario", "kcal", "last_day", "last_weight", "daily_kg", "days_to_target", date.alias("target_day")
+        ENTITY, "scenario", "kcal", "last_day", "last_weight", "daily_kg", "days_to_target",
+        day_after("last_day", F.col("days_to_target")).alias("target_day"),
     )
 
 
@@ -128,26 +125,41 @@ def scenario_paths(summary: DataFrame, days: int = PROJECTION_DAYS) -> DataFrame
     )
 
 
+def trend_parts(inside: Column) -> dict[str, Column]:
+    """Aggregates for the trend over the rows inside: ends of the smoothed weight, span of the rows."""
+    known = F.when(inside & F.col("weight_smoothed").isNotNull(), F.col(DAY))
+    day = F.when(inside, F.col(DAY))
+    return {
+        "_n": F.count(known),
+        "_s0": F.min_by("weight_smoothed", known),
+        "_s1": F.max_by("weight_smoothed", known),
+        "_span": F.greatest(F.datediff(F.max(day), F.min(day)), F.lit(1)),
+    }
+
+
+def trend_value() -> Column:
+    """Change per week between the ends, 0 with fewer than two values."""
+    return F.when(F.col("_n") >= 2, (F.col("_s1") - F.col("_s0")) / F.col("_span") * 7).otherwise(0.0)
+
+
+def with_recent(daily: DataFrame, rows: int = 30) -> DataFrame:
+    return daily.withColumn("_recent", F.row_number().over(from_end()) <= rows)
+
+
 def trend_per_week(daily: DataFrame, rows: int = 30) -> DataFrame:
     """First to last smoothed value of the last rows, over the span of the rows, per week."""
-    recent = tail_rows(daily.select(ENTITY, DAY, "weight_smoothed"), rows)
-    out = recent.groupBy(ENTITY).agg(
-        F.count("weight_smoothed").alias("_n"),
-        first_value("weight_smoothed").alias("_s0"),
-        last_value("weight_smoothed").alias("_s1"),
-        F.greatest(F.datediff(F.max(DAY), F.min(DAY)), F.lit(1)).alias("_span"),
-    )
-    trend = F.when(F.col("_n") >= 2, (F.col("_s1") - F.col("_s0")) / F.col("_span") * 7).otherwise(0.0)
-    return out.select(ENTITY, trend.alias("trend_kg_week"))
+    parts = trend_parts(F.col("_recent"))
+    out = with_recent(daily.select(ENTITY, DAY, "weight_smoothed"), rows).groupBy(ENTITY)
+    return out.agg(*(e.alias(c) for c, e in parts.items())).select(ENTITY, trend_value().alias("trend_kg_week"))
 
 
 def goal_progress(daily: DataFrame, target: float) -> DataFrame:
-    """Share complete, distance, trend, status and expected completion per entity."""
-    ends = daily.groupBy(ENTITY).agg(
+    """Share complete, distance, trend, status and expected completion per entity, in one pass."""
+    rows = with_recent(daily.select(ENTITY, DAY, "weight", "weight_smoothed")).groupBy(ENTITY).agg(
         first_value("weight").alias("start_weight"), last_value("weight").alias("current_weight"),
-        F.max(DAY).alias("last_day"),
-    ).filter("start_weight is not null")
-    rows = ends.join(trend_per_week(daily), ENTITY)
+        F.max(DAY).alias("last_day"), *(e.alias(c) for c, e in trend_parts(F.col("_recent")).items()),
+    )
+    rows = rows.filter("start_weight is not null").withColumn("trend_kg_week", trend_value())
     start, now, goal = F.col("start_weight"), F.col("current_weight"), F.lit(target)
     loss = start > goal
     needed = F.when(loss, start - goal).otherwise(goal - start)
@@ -165,10 +177,15 @@ def goal_progress(daily: DataFrame, target: float) -> DataFrame:
     return rows.select(
         ENTITY, "start_weight", "current_weight", "trend_kg_week", complete.alias("complete"),
         (now - goal).alias("kg_remaining"), status.alias("status"), "days_to_goal", "last_day",
-        F.when(F.col("days_to_goal") < 2_000_000, F.date_add("last_day", F.floor("days_to_goal").try_cast("int"))).alias("goal_day"),
+        day_after("last_day", F.col("days_to_goal")).alias("goal_day"),
     )
 
 
+def day_after(day: str, days: Column) -> Column:
+    """The date so many whole days later; null beyond what a calendar can hold."""
+    return F.when(days < 2_000_000, F.date_add(day, F.floor(days).try_cast("int")))
+
+
 def cumulative_change(daily: DataFrame) -> DataFrame:
     """Weight change since the first known weight, on days with a weight."""
     first = F.first("weight", True).over(up_to_here())
@@ -208,8 +225,9 @@ def status_summary(daily: DataFrame, goals: Goals) -> DataFrame:
         F.avg("energy").alias("recent_intake"),
         F.avg("deficit").alias("recent_deficit"),
         (F.avg(F.col("on_track").cast("double")) * 100).alias("recent_adherence_pct"),
+        *(e.alias(c) for c, e in trend_parts(F.lit(True)).items()),
     )
-    now = now.join(trend_per_week(daily), ENTITY)
+    now = now.withColumn("trend_kg_week", trend_value()).drop("_n", "_s0", "_s1", "_span")
     trend, weight = F.col("trend_kg_week"), F.col("current_weight")
     goal = F.lit(goals.target_weight)
     toward = sc.moving_toward(weight, goal, trend)
