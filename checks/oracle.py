@@ -376,6 +376,9 @@ oracle(
     "SELECT entity, metric, " + ", ".join(f"max(r) FILTER (WHERE lag = {k}) AS lag_{k}" for k in range(8)) + " FROM lagtrend GROUP BY entity, metric",
     " ".join(f"lag_{k}" for k in range(8)), digits=5,
 )
+CTES["lag8a"] = corr_sql("rin", LAG_METRICS, "weight_change", 7, 8)
+CTES["lag8b"] = corr_sql("rin", LAG_METRICS, "trend_change_7d", 7, 8)
+oracle("lag_two_targets", "SELECT *, 'change' AS target FROM lag8a UNION ALL SELECT *, 'trend' AS target FROM lag8b", "r")
 oracle(
     "lag_summary",
     f"SELECT a.entity, a.metric, a.best_lag AS all_time_lag, a.best_r AS all_time_r, b.best_lag AS recent_lag, b.best_r AS recent_r "

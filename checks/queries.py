@@ -219,6 +219,12 @@ def lag_best(spark, sf_dir):
     return correlate.best_lags(lag_corr(spark, sf_dir))
 
 
+@query("lag_two_targets")
+def lag_two_targets(spark, sf_dir):
+    targets = {"change": "weight_change", "trend": "trend_change_7d"}
+    return correlate.lag_correlations_with(wearable_report(spark, sf_dir), correlate.LAG_METRICS, targets, 7, 8)
+
+
 @query("lag_summary")
 def lag_summary(spark, sf_dir):
     rows = wearable_report(spark, sf_dir)
@@ -650,7 +656,7 @@ def stratified_sample(spark, sf_dir):
 
 @query("stratum_quotas")
 def stratum_quotas(spark, sf_dir):
-    docs = panels.table(spark, sf_dir, "documents").select("doc_id", "source")
+    docs = panels.table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     return text.stratum_quotas(docs, "source", SAMPLE_SIZE).withColumnRenamed("_quota", "quota")
 
 

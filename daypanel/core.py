@@ -100,6 +100,11 @@ def from_end(*keys: str) -> WindowSpec:
     return Window.partitionBy(*(keys or (ENTITY,))).orderBy(F.col(DAY).desc())
 
 
+def rank_from_end(*keys: str) -> Column:
+    """1 for the newest row; from the ascending rank, so that no second sort is needed."""
+    return F.count(F.lit(1)).over(whole(*keys)) - F.row_number().over(by_day(*keys)) + 1
+
+
 def frame(size: int, *keys: str) -> WindowSpec:
     """The current row and the ``size - 1`` rows before it (rows, never calendar days)."""
     return by_day(*keys).rowsBetween(1 - size, Window.currentRow)

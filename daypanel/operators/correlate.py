@@ -30,44 +30,53 @@ LAG_METRICS = {
 WATER_NUTRIENTS = ["sodium", "carbs", "water"]
 
 
-def long_metrics(daily: DataFrame, metrics: Sequence[str] | Mapping[str, str], target: str) -> DataFrame:
-    """(entity, day, target, metric, x): one row per day and metric; absent columns are null."""
+def long_metrics(
+    daily: DataFrame, metrics: Sequence[str] | Mapping[str, str], targets: Mapping[str, str]
+) -> DataFrame:
+    """(entity, day, targets, metric, x): one row per day and metric; absent columns are null."""
     named = dict(metrics) if isinstance(metrics, Mapping) else {m: m for m in metrics}
-    daily = numeric(ensure_columns(daily, {c: "double" for c in named.values()}), [*named.values(), target])
-    wide = daily.select(
-        ENTITY, DAY, F.col(target).alias("target"), *(F.col(c).alias(label) for label, c in named.items())
-    )
-    return wide.unpivot([ENTITY, DAY, "target"], list(named), "metric", "x")
+    columns = [*named.values(), *targets.values()]
+    daily = numeric(ensure_columns(daily, {c: "double" for c in named.values()}), columns)
+    ys = [F.col(c).alias(y) for y, c in targets.items()]
+    wide = daily.select(ENTITY, DAY, *ys, *(F.col(c).alias(label) for label, c in named.items()))
+    return wide.unpivot([ENTITY, DAY, *targets], list(named), "metric", "x")
 
 
 def lag_correlations(
     daily: DataFrame, metrics: Sequence[str] | Mapping[str, str], target: str = "weight_change",
     max_lag: int = 0, min_pairs: int = 3,
 ) -> DataFrame:
-    """(entity, metric, lag, n, r) for every metric and lag; r is null below ``min_pairs``.
+    """(entity, metric, lag, n, r) for every metric and lag; r is null below ``min_pairs``."""
+    return lag_correlations_with(daily, metrics, {target: target}, max_lag, min_pairs).drop("target")
+
+
+def lag_correlations_with(
+    daily: DataFrame, metrics: Sequence[str] | Mapping[str, str], targets: Mapping[str, str],
+    max_lag: int = 0, min_pairs: int = 3,
+) -> DataFrame:
+    """(target, entity, metric, lag, n, r) for several target series in one pass.
 
     The metrics are unpivoted first, so that one window gives all lags and one aggregate gives all
     correlations, both partitioned by (entity, metric): rows grow by the number of metrics,
     not by metrics times lags, and the aggregate needs no exchange after the window.
     """
-    rows = long_metrics(daily, metrics, target)
+    names = {f"_y{i}": c for i, c in enumerate(targets.values())}
+    rows = long_metrics(daily, metrics, names)
     spec = Window.partitionBy(ENTITY, "metric").orderBy(DAY)
-    y = F.col("target")
-    shifted = {f"_x{k}": F.lag("x", k).over(spec) if k else F.col("x") for k in range(max_lag + 1)}
-    rows = rows.withColumns(shifted)
-    aggs = []
-    for k in range(max_lag + 1):
-        x = F.col(f"_x{k}")
-        aggs += [pair_count(x, y).alias(f"_n{k}"), safe_corr(x, y).alias(f"_r{k}")]
+    lags = range(max_lag + 1)
+    rows = rows.withColumns({f"_x{k}": F.lag("x", k).over(spec) if k else F.col("x") for k in lags})
+    aggs, cells = [], []
+    for y, label in zip(names, targets):
+        for k in lags:
+            x, n, r = F.col(f"_x{k}"), f"_n{k}{y}", f"_r{k}{y}"
+            aggs += [pair_count(x, F.col(y)).alias(n), safe_corr(x, F.col(y)).alias(r)]
+            cells.append(
+                F.struct(
+                    F.lit(label).alias("target"), F.lit(k).alias("lag"), F.col(n).alias("n"),
+                    F.when(F.col(n) >= min_pairs, F.col(r)).alias("r"),
+                )
+            )
     wide = rows.groupBy(ENTITY, "metric").agg(*aggs)
-    cells = [
-        F.struct(
-            F.lit(k).alias("lag"),
-            F.col(f"_n{k}").alias("n"),
-            F.when(F.col(f"_n{k}") >= min_pairs, F.col(f"_r{k}")).alias("r"),
-        )
-        for k in range(max_lag + 1)
-    ]
     return wide.select(ENTITY, "metric", F.inline(F.array(*cells)))
 
 

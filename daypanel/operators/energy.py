@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daypanel.core import ENTITY, by_day, frame, from_end
+from daypanel.core import ENTITY, by_day, frame, rank_from_end, whole
 from daypanel.functions.scalars import KCAL_PER_KG, in_open_range
-from daypanel.functions.stats import drop_blocks, ewm, rolling_mean, with_blocks
+from daypanel.functions.stats import drop_blocks, ewm, with_blocks
 
 # Smoothing spans, plausible ranges, method weights.
 WEIGHT_SPAN, WEIGHT_MIN = 10, 3
@@ -97,29 +97,31 @@ def regression_estimate(daily: DataFrame) -> DataFrame:
     return regression_result(daily.groupBy(ENTITY).agg(*(e.alias(a) for a, e in parts.items())))
 
 
-def estimates(daily: DataFrame) -> DataFrame:
-    """One row per entity with every method and the weighted average, null where not usable.
+ESTIMATE_COLUMNS = [
+    "adaptive", "rolling_14d", "rolling_30d", "stable_periods", "stable_periods_count", "regression", "regression_r2",
+    "recent_30d", "weighted_average",
+]
 
-    ``daily`` holds the columns of :func:`energy_columns`.  All methods come from one aggregate.
-    """
+
+def estimate_parts() -> dict[str, Column]:
+    """Aggregates over the rows of an entity from which every method follows."""
     recent = F.col("_back") <= 30
     energy, delta = F.col("energy"), F.col("smoothed_delta")
-    parts = {
+    return {
         "_adaptive": F.avg("tdee_adaptive"),
         "_roll14": F.avg("tdee_14d"),
         "_roll30": F.avg("tdee_30d"),
-        "_stable": F.avg("_stable"),
-        "_stable_n": F.count("_stable"),
+        "_stable": F.avg("_stable_intake"),
+        "_stable_n": F.count("_stable_intake"),
         "_recent_n": F.count(F.when(recent, energy)),
         "_recent_in": F.avg(F.when(recent, energy)),
         "_recent_delta": F.avg(F.when(recent, delta)),
         **regression_parts(),
     }
-    one = (
-        daily.withColumns({"_stable": stable_windows(), "_back": F.row_number().over(from_end())})
-        .groupBy(ENTITY)
-        .agg(*(e.alias(a) for a, e in parts.items()))
-    )
+
+
+def estimate_values(one: DataFrame) -> DataFrame:
+    """Methods in their plausible range and their weighted average, from the aggregates."""
     one = regression_result(one)
     recent_value = F.when(F.col("_recent_n") > 7, F.col("_recent_in") - F.col("_recent_delta") * KCAL_PER_KG)
     one = one.withColumns(
@@ -139,21 +141,30 @@ def estimates(daily: DataFrame) -> DataFrame:
     for method, weight in METHOD_WEIGHTS.items():
         total = total + F.coalesce(value[method] * weight, F.lit(0.0))
         weights = weights + F.when(value[method].isNotNull(), weight).otherwise(0.0)
-    one = one.withColumn("weighted_average", F.try_divide(total, F.nullif(weights, F.lit(0.0))))
-    return one.select(
-        ENTITY, "adaptive", "rolling_14d", "rolling_30d", "stable_periods", "stable_periods_count",
-        "regression", "regression_r2", "recent_30d", "weighted_average",
-    )
+    return one.withColumn("weighted_average", F.try_divide(total, F.nullif(weights, F.lit(0.0))))
+
+
+def estimates(daily: DataFrame) -> DataFrame:
+    """One row per entity with every method and the weighted average, null where not usable.
+
+    ``daily`` holds the columns of :func:`energy_columns`.  All methods come from one aggregate.
+    """
+    rows = daily.withColumns({"_stable_intake": stable_windows(), "_back": rank_from_end()})
+    one = rows.groupBy(ENTITY).agg(*(e.alias(a) for a, e in estimate_parts().items()))
+    return estimate_values(one).select(ENTITY, *ESTIMATE_COLUMNS)
 
 
 def with_estimates(daily: DataFrame) -> DataFrame:
     """Daily rows with the per-entity estimates next to them (``est_*`` columns).
 
-    Both sides are hash-partitioned by entity already, so the join adds no exchange.
+    The same aggregates as window functions over the entity: the rows are partitioned by it
+    already, so neither a join nor a second computation of the daily columns is needed.
     """
-    est = estimates(daily)
-    renamed = est.select(ENTITY, *(F.col(c).alias(f"est_{c}") for c in est.columns if c != ENTITY))
-    return daily.join(renamed, ENTITY, "left")
+    columns = daily.columns
+    rows = daily.withColumns({"_stable_intake": stable_windows(), "_back": rank_from_end()})
+    rows = rows.withColumns({a: e.over(whole()) for a, e in estimate_parts().items()})
+    rows = estimate_values(rows)
+    return rows.select(*columns, *(F.col(c).alias(f"est_{c}") for c in ESTIMATE_COLUMNS))
 
 
 def method_bars(est: DataFrame) -> DataFrame:

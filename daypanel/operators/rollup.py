@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daypanel.core import (
-    DAY, ENTITY, NUTRIENTS, ensure_columns, from_end, latest_groups, month_start, tail_rows, week_start, whole,
+    DAY, ENTITY, NUTRIENTS, ensure_columns, latest_groups, month_start, rank_from_end, tail_rows, week_start, whole,
 )
 from daypanel.functions import scalars as sc
 from daypanel.functions.stats import variation_pct
@@ -367,7 +367,7 @@ def key_figures(daily: DataFrame) -> DataFrame:
     One pass: each window is a set of conditional aggregates over the rank from the end.
     """
     types = {"tdee_adaptive": "double", "weight_smoothed": "double", "on_track": "boolean"}
-    rows = ensure_columns(daily, types).withColumn("_back", F.row_number().over(from_end()))
+    rows = ensure_columns(daily, types).withColumn("_back", rank_from_end())
     aggs = []
     for label, size in KEY_WINDOWS.items():
         inside = F.lit(True) if size is None else F.col("_back") <= size

@@ -59,14 +59,13 @@ def first_by_bucket(
     return inside.unionByName(edge).drop("_before", "_quota", "_inside")
 
 
-def stratum_quotas(rows: DataFrame, stratum: str, size: int) -> DataFrame:
-    """(stratum, quota): proportional shares by largest remainder, ties by stratum.
+def stratum_quotas(counts: DataFrame, stratum: str, size: int) -> DataFrame:
+    """(stratum, quota) from (stratum, n): shares by largest remainder, ties by stratum.
 
     Whole-number arithmetic keeps the remainders exact; the two totals are scalar subqueries.
     """
     if size <= 0:
         raise ValueError("size must be positive")
-    counts = rows.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
     shares = counts.withColumn("_total", counts.agg(F.sum("n")).scalar())
     shares = shares.withColumns(
         {"_floor": F.expr(f"n * {size}L div _total"), "_rest": (F.col("n") * size) % F.col("_total")}
@@ -91,11 +90,14 @@ def stratified_sample(rows: DataFrame, stratum: str, key: str, size: int = 2000,
     Rows without a stratum are left out; fill the column first.
     """
     rows = rows.filter(F.col(stratum).isNotNull())
-    quotas = stratum_quotas(rows, stratum, size)
     hashed = rows.withColumn("_h", order_hash(F.col(key), seed)).withColumn("_b", hash_bucket(F.col("_h")))
-    picked = first_by_bucket(
-        hashed, [stratum], "_b", [F.col("_h"), F.col(key)], lambda c: c.join(quotas, stratum)
-    )
+
+    def quota(counts: DataFrame) -> DataFrame:
+        # The same counts again, so that their one exchange serves both.
+        strata = counts.groupBy(stratum).agg(F.sum("_c").alias("n"))
+        return counts.join(stratum_quotas(strata, stratum, size), stratum)
+
+    picked = first_by_bucket(hashed, [stratum], "_b", [F.col("_h"), F.col(key)], quota)
     return picked.drop("_h", "_b")
 
 

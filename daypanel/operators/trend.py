@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daypanel.core import DAY, ENTITY, ensure_columns, from_end, tail_rows, up_to_here, whole
+from daypanel.core import DAY, ENTITY, ensure_columns, rank_from_end, tail_rows, up_to_here, whole
 from daypanel.functions import scalars as sc
 from daypanel.operators.metrics import Goals
 from daypanel.operators.rollup import first_value, last_value
@@ -30,7 +30,7 @@ def axis_limits(daily: DataFrame, target: float, padding: float = 2.0) -> DataFr
 def weight_trends(daily: DataFrame, recent_rows: int = 90) -> DataFrame:
     """All-time and recent linear trend of weight by day number, with change and band labels."""
     rows = daily.select(ENTITY, DAY, "weight").withColumns(
-        {"_back": F.row_number().over(from_end()), "_first": F.min(DAY).over(whole())}
+        {"_back": rank_from_end(), "_first": F.min(DAY).over(whole())}
     )
     recent = F.col("_back") <= recent_rows
     rows = rows.withColumn("_first_recent", F.min(F.when(recent, F.col(DAY))).over(whole()))
@@ -143,7 +143,7 @@ def trend_value() -> Column:
 
 
 def with_recent(daily: DataFrame, rows: int = 30) -> DataFrame:
-    return daily.withColumn("_recent", F.row_number().over(from_end()) <= rows)
+    return daily.withColumn("_recent", rank_from_end() <= rows)
 
 
 def trend_per_week(daily: DataFrame, rows: int = 30) -> DataFrame:

@@ -149,14 +149,13 @@ def adjusted_report(report: DataFrame) -> dict[str, DataFrame]:
 
 def lag_report(report: DataFrame) -> dict[str, DataFrame]:
     """Recent matrices are computed after the trim to the last 30 rows, all-time ones before."""
-    recent = tail_rows(report, 30)
+    targets = {"change": "weight_change", "trend": "trend_change_7d"}
     tables, best = {}, {}
-    for name, rows, need in (("all", report, 11), ("recent", recent, 5)):
-        for target, column in (("change", "weight_change"), ("trend", "trend_change_7d")):
-            corr = correlate.lag_correlations(rows, correlate.LAG_METRICS, column, 7, need)
-            tables[f"lag_{name}_{target}"] = correlate.lag_matrix(corr)
-            if target == "change":
-                best[name] = correlate.best_lags(corr)
+    for name, rows, need in (("all", report, 11), ("recent", tail_rows(report, 30), 5)):
+        both = correlate.lag_correlations_with(rows, correlate.LAG_METRICS, targets, 7, need)
+        for target in targets:
+            tables[f"lag_{name}_{target}"] = correlate.lag_matrix(both.filter(F.col("target") == target))
+        best[name] = correlate.best_lags(both.filter("target = 'change'"))
     tables["lag_summary"] = lag_summary(best["all"], best["recent"])
     return tables
 

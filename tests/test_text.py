@@ -18,8 +18,8 @@ def test_sample_is_exact_proportional_and_repeatable(spark):
 
 
 def test_quota_remainders(spark):
-    rows = spark.createDataFrame([(s,) for s in "aaabbbc"], "s string")
-    got = {r["s"]: r["_quota"] for r in text.stratum_quotas(rows, "s", 4).collect()}
+    counts = spark.createDataFrame([("a", 3), ("b", 3), ("c", 1)], "s string, n long")
+    got = {r["s"]: r["_quota"] for r in text.stratum_quotas(counts, "s", 4).collect()}
     # 12/7, 12/7, 4/7: floors 1, 1, 0; the two largest remainders are those of a and b.
     assert got == {"a": 2, "b": 2, "c": 0}
 
