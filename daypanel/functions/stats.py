@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from daypanel.core import DAY, ENTITY, by_day, frame
@@ -40,6 +40,11 @@ def with_blocks(df: DataFrame, block: int = 1000) -> DataFrame:
     )
 
 
+def block_order() -> WindowSpec:
+    """The order of :func:`by_day` written so that it shares the sort of :func:`ewm`."""
+    return Window.partitionBy(ENTITY).orderBy("_blk", DAY)
+
+
 def drop_blocks(df: DataFrame) -> DataFrame:
     return df.drop("_rn", "_blk", "_pos")
 
@@ -55,7 +60,7 @@ def ewm(df: DataFrame, value: str, out: str, span: int, min_count: int, block: i
     if not 20 * (span + 1) <= block <= 300 * (span + 1) or span < 2:
         raise ValueError("block must be between 20 and 300 times span + 1, and span at least 2")
     growth = 1.0 / (1.0 - 2.0 / (span + 1.0))
-    ordered = Window.partitionBy(ENTITY).orderBy("_blk", DAY)
+    ordered = block_order()
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     in_block = Window.partitionBy(ENTITY, "_blk").orderBy(DAY).rowsBetween(

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from daypanel.core import ENTITY, by_day, frame, rank_from_end, whole
+from daypanel.core import ENTITY, frame, rank_from_end, whole
 from daypanel.functions.scalars import KCAL_PER_KG, in_open_range
-from daypanel.functions.stats import drop_blocks, ewm, with_blocks
+from daypanel.functions.stats import block_order, drop_blocks, ewm, with_blocks
 
 # Smoothing spans, plausible ranges, method weights.
 WEIGHT_SPAN, WEIGHT_MIN = 10, 3
@@ -37,17 +37,24 @@ def smooth_weight(daily: DataFrame, span: int = WEIGHT_SPAN) -> DataFrame:
 
 
 def energy_columns(daily: DataFrame) -> DataFrame:
-    """Add weight_smoothed, smoothed_delta, tdee_adaptive, tdee_14d and tdee_30d."""
+    """Add weight_smoothed, smoothed_delta, tdee_adaptive, tdee_14d and tdee_30d.
+
+    All windows after the row positions use one order, so there is one sort for them.
+    """
+    order = block_order()
     daily = ewm(with_blocks(daily), "weight", "weight_smoothed", WEIGHT_SPAN, WEIGHT_MIN)
-    daily = daily.withColumn("smoothed_delta", F.col("weight_smoothed") - F.lag("weight_smoothed").over(by_day()))
+    daily = daily.withColumn("smoothed_delta", F.col("weight_smoothed") - F.lag("weight_smoothed").over(order))
     daily = daily.withColumn("_raw", F.col("energy") - F.col("smoothed_delta") * KCAL_PER_KG)
-    daily = drop_blocks(ewm(daily, "_raw", "tdee_adaptive", ESTIMATE_SPAN, ESTIMATE_MIN)).drop("_raw")
-    return daily.withColumns({"tdee_14d": rolling_balance(14, 7), "tdee_30d": rolling_balance(30, 14)})
+    daily = ewm(daily, "_raw", "tdee_adaptive", ESTIMATE_SPAN, ESTIMATE_MIN)
+    daily = daily.withColumns(
+        {"tdee_14d": rolling_balance(order, 14, 7), "tdee_30d": rolling_balance(order, 30, 14)}
+    )
+    return drop_blocks(daily).drop("_raw")
 
 
-def rolling_balance(window: int, min_rows: int) -> Column:
+def rolling_balance(order: WindowSpec, window: int, min_rows: int) -> Column:
     """Mean intake minus the energy of the mean smoothed change, over rows."""
-    spec = frame(window)
+    spec = order.rowsBetween(1 - window, Window.currentRow)
     return F.when(
         F.count(F.lit(1)).over(spec) >= min_rows,
         F.avg("energy").over(spec) - F.avg("smoothed_delta").over(spec) * KCAL_PER_KG,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # Default category, label names and their numbers.
 DEFAULT_CATEGORY = "Miscellaneous"
 LABELS = {"Not Junk": 0, "Junk": 1}
-BUCKETS = 4096
+BUCKETS = 65536
 
 
 def fill_category(foods: DataFrame, column: str = "category") -> DataFrame:
@@ -27,8 +27,8 @@ def order_hash(key: Column, seed: int) -> Column:
 
 
 def hash_bucket(h: Column) -> Column:
-    """The first three hex digits: 4096 buckets in hash order."""
-    return F.conv(F.substring(h, 1, 3), 16, 10).cast("int")
+    """The first four hex digits: 65536 buckets in hash order."""
+    return F.conv(F.substring(h, 1, 4), 16, 10).cast("int")
 
 
 def first_by_bucket(
@@ -37,9 +37,9 @@ def first_by_bucket(
     """The first rows of every group in ``order`` up to its quota; ``bucket`` is a coarse order.
 
     ``quota`` adds a ``_quota`` column to the small table of counts per group and bucket.  Counts
-    show which buckets lie wholly inside the quota, and only the rows of the one bucket that
-    crosses it are ranked.  A group holding any share of all rows is spread over its
-    buckets and never sorted in one task.
+    show which buckets lie inside the quota or cross it; rows of the others never leave the
+    join.  Ranks are taken within one bucket, so a group holding any share of all rows is
+    spread over its buckets and never sorted in one task.
     """
     counts = quota(rows.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_c")))
     upto = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -47,16 +47,10 @@ def first_by_bucket(
     counts = counts.filter(F.col("_before") < F.col("_quota")).select(
         *group, bucket, "_before", "_quota", (F.col("_before") + F.col("_c") <= F.col("_quota")).alias("_inside")
     )
-    kept = rows.join(counts, [*group, bucket])
-    inside = kept.filter("_inside")
     spec = Window.partitionBy(*group, bucket).orderBy(*order)
-    edge = (
-        kept.filter(~F.col("_inside"))
-        .withColumn("_k", F.row_number().over(spec))
-        .filter(F.col("_k") <= F.col("_quota") - F.col("_before"))
-        .drop("_k")
-    )
-    return inside.unionByName(edge).drop("_before", "_quota", "_inside")
+    kept = rows.join(counts, [*group, bucket]).withColumn("_k", F.row_number().over(spec))
+    kept = kept.filter(F.col("_inside") | (F.col("_k") <= F.col("_quota") - F.col("_before")))
+    return kept.drop("_before", "_quota", "_inside", "_k")
 
 
 def stratum_quotas(counts: DataFrame, stratum: str, size: int) -> DataFrame:
