@@ -35,8 +35,8 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     for name, kind in df.dtypes:
         c = F.col(name)
         if kind in ("double", "float"):
-            r = F.round(c, digits)
-            c = F.when(r == 0, F.lit(0.0)).otherwise(r)
+            # Adding zero turns a negative zero into a plain one.
+            c = F.round(c, digits) + F.lit(0.0)
         elif kind in ("int", "smallint", "tinyint"):
             c = c.cast("bigint")
         out.append(c.alias(name))

@@ -62,12 +62,17 @@ SAMPLE_TYPES: dict[str, str] = {"sample_ts": "string", "bpm": "double"}
 
 
 def get_session(app_name: str = "daypanel", master: str | None = None) -> SparkSession:
-    """Session with UTC time and adaptive execution; cluster settings are left to the cluster."""
+    """Session with UTC time and adaptive execution; cluster settings are left to the cluster.
+
+    Panel rows are few bytes but take many window and payload expressions each, so the adaptive
+    join of small shuffle partitions may go on below its default of 1 MB while cores are idle.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
