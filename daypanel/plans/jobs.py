@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypanel.core import DAY, ENTITY, KEYS, shared_dir
+from daypanel.core import DAY, ENTITY, shared_dir
 from daypanel.operators import sync
 from daypanel.operators.payload import normalise
 from daypanel.sources import exports, sinks
@@ -117,7 +117,3 @@ def seed_store(spark: SparkSession, export_root: str, root: str, merge_existing:
     else:
         replace_store(root, sync.merge_daily(None, daily), sync.merge_sessions(None, sessions), samples)
     return read_daily_history(spark, root)
-
-
-def store_keys(spark: SparkSession, root: str) -> DataFrame:
-    return sinks.read_version(spark, sinks.store_paths(root)["daily"]).select(*KEYS)
