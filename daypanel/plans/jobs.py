@@ -26,7 +26,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def months_of(df: DataFrame) -> list[str]:
     """Calendar months present, a list as short as the calendar."""
-    return [r[0] for r in df.select(F.date_format(DAY, "yyyy-MM").alias("m")).distinct().collect()]
+    months = [r[0] for r in df.select(F.date_format(DAY, "yyyy-MM").alias("m")).distinct().collect()]
+    if None in months:
+        raise ValueError("rows without a day")
+    return months
 
 
 def upsert_table(

@@ -92,9 +92,10 @@ def write_parts(df: DataFrame, table: str, version: str) -> None:
 
 def list_parts(spark: SparkSession, table: str, version: str) -> dict[str, str]:
     hadoop, fs = file_system(spark, f"{table}/{version}")
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory()]
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
     months = {n.split("=", 1)[1]: f"{version}/{n}" for n in names if n.startswith("month=")}
-    return months or {WHOLE: version}
+    # A dated table without rows has neither months nor files and publishes no part.
+    return months or ({WHOLE: version} if any(n.endswith(".parquet") for n in names) else {})
 
 
 def file_system(spark: SparkSession, path: str):

@@ -146,6 +146,15 @@ def test_unfinished_write_leaves_the_old_version(spark, tmp_path):
     assert ordered(sinks.read_version(spark, table), "w_steps") == [1.0]
 
 
+def test_an_empty_table_and_rows_without_a_day(spark, tmp_path):
+    table = str(tmp_path / "samples")
+    sinks.replace_table(tables.no_samples(spark), table)
+    assert sinks.read_version(spark, table) is None and sinks.published(spark, table) == {}
+    undated = series(spark, {"w_steps": [1.0]}).withColumn("day", F.lit(None).cast("date"))
+    with pytest.raises(ValueError):
+        jobs.upsert_table(undated, table, jobs.merge_daily_rows)
+
+
 def test_stream_merge_applies_each_batch_once(spark, tmp_path):
     landing, table, checkpoint = (str(tmp_path / n) for n in ("landing", "store", "checkpoint"))
     old, new = old_and_new(spark)
