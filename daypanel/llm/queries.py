@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, quality_rules, token_counts
+from . import chunk_bpe, language_crf, quality_rules, token_counts
 from .common import table
 
 
@@ -27,7 +27,14 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.digests(chunk_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op5_byte_bpe)}
+def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_crf.is_held_out(F.col("doc_id"))
+    crf = language_crf.fit(docs.where(F.col("doc_id").isNotNull() & ~held_out))
+    return language_crf.label(docs, crf).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_words", "n_other")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op5_byte_bpe, op10_language_crf)}
 
 # DuckDB SQL for the rows of a query.
 ORACLE = {
