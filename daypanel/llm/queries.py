@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, language_crf, quality_rules, token_counts
+from . import chunk_bpe, credentials, language_crf, quality_rules, token_counts
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "n_whole")
 
 
+def op3_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest(credentials.find(table(spark, sf_dir, "documents")))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.digests(chunk_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
@@ -34,7 +38,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.label(docs, crf).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_words", "n_other")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op5_byte_bpe, op10_language_crf)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op5_byte_bpe, op10_language_crf)}
 
 # DuckDB SQL for the rows of a query.
 ORACLE = {
