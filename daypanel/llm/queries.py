@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, credentials, language_crf, quality_rules, sharding, token_counts
+from . import chunk_bpe, credentials, language_crf, quality_rules, sharding, token_counts, toxicity
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op6_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language_crf.is_held_out(F.col("doc_id"))
@@ -43,7 +47,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.label(docs, crf).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_words", "n_other")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op5_byte_bpe, op6_label_propagation, op10_language_crf)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op5_byte_bpe, op6_label_propagation, op7_toxicity, op10_language_crf)}
 
 # DuckDB SQL for the rows of a query.
 ORACLE = {
