@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, credentials, language_crf, quality_rules, sharding, token_counts, toxicity
+from . import chunk_bpe, credentials, decontamination, language_crf, quality_rules, sharding, token_counts, toxicity
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op3_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digest(credentials.find(table(spark, sf_dir, "documents")))
 
 
+def op4_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.digests(chunk_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
@@ -47,7 +51,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.label(docs, crf).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_words", "n_other")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op5_byte_bpe, op6_label_propagation, op7_toxicity, op10_language_crf)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op10_language_crf)}
 
 # DuckDB SQL for the rows of a query.
 ORACLE = {
