@@ -48,8 +48,8 @@ def utf8(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
-def in_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
-    """``work`` yields column lists for slices of each Arrow batch; the output has the given schema."""
+def in_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]], schema: str, bytes_each: int = STEP_BYTES) -> DataFrame:
+    """``work`` yields column lists for slices of about ``bytes_each`` of each Arrow batch; the output has the given schema."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -57,7 +57,7 @@ def in_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, bytes_each):
                 for out in work(part):
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 

@@ -196,7 +196,7 @@ def fit(labelled: DataFrame, sample: int = 300, rounds: int = 3, steps: int = 8,
     k = len(languages)
     crf = Crf(languages, learn_lexicon(drawn, languages), np.zeros((BUCKETS, k), np.float32), np.zeros((k, k), np.float32))
     at = {x: i for i, x in enumerate(languages)}
-    spread = drawn.repartition(partitions, "text")
+    spread = drawn.repartition(partitions)  # as many models as this come back to the driver
     for turn in range(rounds):
         sent = drawn.sparkSession.sparkContext.broadcast(crf)
 
@@ -264,4 +264,4 @@ def label(docs: DataFrame, crf: Crf | None, text: str = "text", words: bool = Fa
                     out["word_langs"][i] = [crf.languages[z] for z in top[starts[j] : starts[j] + own[j]]]
         yield out
 
-    return in_batches(picked, work, schema)
+    return in_batches(picked, work, schema, 4 << 20)
