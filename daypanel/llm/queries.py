@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, credentials, decontamination, jaccard_join, language_crf, quality_rules, sharding, token_counts, toxicity
+from . import chunk_bpe, credentials, decontamination, jaccard_join, kneser_ney, language_crf, quality_rules, sharding, token_counts, toxicity
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.label(docs, crf).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_words", "n_other")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op9_jaccard_join, op10_language_crf)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op8_kneser_ney, op9_jaccard_join, op10_language_crf)}
 
 # DuckDB SQL for the rows of a query.
 ORACLE = {
