@@ -64,6 +64,18 @@ def in_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]],
     return df.mapInArrow(run, schema)
 
 
+def kept_rows(df: DataFrame, text: str, keep: Callable[[list[str]], list[bool]], bytes_each: int = STEP_BYTES) -> DataFrame:
+    """The rows, all columns as they are, whose text ``keep`` says yes to; texts come as a list, null as an empty one."""
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, bytes_each):
+                yield part.filter(pa.array(keep([t or "" for t in part.column(at).to_pylist()]), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def slices(batch: pa.RecordBatch, bytes_each: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of about ``bytes_each``, so that Python objects of one slice at a time exist."""
     if not batch.num_rows:

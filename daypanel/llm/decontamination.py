@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches, slices, stored
+from .common import in_batches, kept_rows, slices
 
 BUCKETS = 1 << 15  # hashed words
 COLUMNS = 80  # of the sketch
@@ -36,6 +37,10 @@ PASSAGE = 32  # words
 STRIDE = 16
 LEAST = 8
 BITS = 1024  # of the word signatures
+COSINE = 0.42
+VERBATIM = 0.8
+PARAPHRASE = 0.6
+BLOCK = 5_000  # benchmark items sent at once
 CHUNK_ROWS = 16  # sketch rows in one message
 # ASCII punctuation between words.
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -185,33 +190,24 @@ def item_passages(items: list[tuple[int, str]], vectors: np.ndarray) -> dict:
     return out
 
 
-def search(docs: DataFrame, benchmark: DataFrame, vectors: np.ndarray, text: str = "text", cosine: float = 0.42, verbatim: float = 0.8, paraphrase: float = 0.6, block: int = 5_000) -> DataFrame:
+def search(docs: DataFrame, benchmark: DataFrame, vectors: np.ndarray, text: str = "text", cosine: float = COSINE, verbatim: float = VERBATIM, paraphrase: float = PARAPHRASE, block: int = BLOCK) -> DataFrame:
     """``doc_id, item_id, cosine, common, answer`` for each document and item that meet.
 
     ``common`` is the share of an item passage's words in the longest common subsequence; a match needs ``verbatim`` of them, or
     ``paraphrase`` of them and the answer's words.
     """
-    spark = docs.sparkSession
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct()
-    blocks = max(1, -(-items.count() // block))
     schema = "doc_id long, item_id long, cosine double, common double, answer boolean"
     out = None
-    for k in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()  # about ``block`` rows
-        sent = spark.sparkContext.broadcast((vectors, item_passages([(r.item_id, r.text) for r in own], vectors)))
+    for sent in item_blocks(benchmark, vectors, block):
 
         def work(batch: pa.RecordBatch, sent=sent) -> Iterator[dict]:
-            vectors, q = sent.value
             found: dict[str, list] = {c: [] for c in ("doc_id", "item_id", "cosine", "common", "answer")}
-            if q["item"]:
-                queries = unit(np.array(q["vector"], np.float32))
-                ids = batch.column(0).to_pylist()
-                texts = [words_of(t) for t in batch.column(1).to_pylist()]
-                for row, best in matches(texts, vectors, queries, q, cosine, verbatim, paraphrase):
-                    for item, (common, cos, answer) in sorted(best.items()):
-                        for c, v in zip(found, (ids[row], item, cos, common, answer), strict=True):
-                            found[c].append(v)
+            ids = batch.column(0).to_pylist()
+            for row, best in matches([words_of(t) for t in batch.column(1).to_pylist()], *sent.value, cosine, verbatim, paraphrase):
+                for item, (common, cos, answer) in sorted(best.items()):
+                    for c, v in zip(found, (ids[row], item, cos, common, answer), strict=True):
+                        found[c].append(v)
             yield found
 
         hits = in_batches(picked, work, schema)
@@ -219,8 +215,20 @@ def search(docs: DataFrame, benchmark: DataFrame, vectors: np.ndarray, text: str
     return out
 
 
-def matches(texts: list[list[bytes]], vectors: np.ndarray, queries: np.ndarray, q: dict, cosine: float, verbatim: float, paraphrase: float) -> Iterator[tuple[int, dict]]:
+def item_blocks(benchmark: DataFrame, vectors: np.ndarray, block: int) -> Iterator[Broadcast]:
+    """Benchmark items with their passages, sent in blocks of about ``block`` items."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct()
+    blocks = max(1, -(-items.count() // block))
+    for k in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
+        yield benchmark.sparkSession.sparkContext.broadcast((vectors, item_passages([(r.item_id, r.text) for r in own], vectors)))
+
+
+def matches(texts: list[list[bytes]], vectors: np.ndarray, q: dict, cosine: float, verbatim: float, paraphrase: float) -> Iterator[tuple[int, dict]]:
     """Rows with what they contain, by item: candidates by cosine of latent vectors, then the word checks."""
+    if not q["item"]:
+        return
+    queries = unit(np.array(q["vector"], np.float32))
     rows = [i for i, w in enumerate(texts) if len(w) >= LEAST]
     group: list[int] = []
     size = 0
@@ -290,8 +298,14 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame
     return search(docs, benchmark, embedding(docs, text), text)
 
 
-def remove(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Documents without a match; a document is known by its id, null ids by the text they share with a match."""
-    keyed = stored(hits.select("doc_id").distinct(), "contaminated")
-    kept = docs.alias("d").join(keyed.alias("k"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")), "left_anti")
-    return kept.select(*[F.col(f"d.{c}") for c in docs.columns])
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", cosine: float = COSINE, verbatim: float = VERBATIM, paraphrase: float = PARAPHRASE, block: int = BLOCK) -> DataFrame:
+    """The documents, as they are, that match no item."""
+    out = docs
+    for sent in item_blocks(benchmark, embedding(docs, text), block):
+
+        def keep(texts: list[str], sent=sent) -> list[bool]:
+            hit = {row for row, _ in matches([words_of(t) for t in texts], *sent.value, cosine, verbatim, paraphrase)}
+            return [i not in hit for i in range(len(texts))]
+
+        out = kept_rows(out, text, keep)
+    return out

@@ -20,6 +20,7 @@ ids take part but never name a component; repeated rows are one class; further c
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -122,7 +123,7 @@ def class_shard(k: np.ndarray, shards: int) -> np.ndarray:
 
 
 def shingled(docs: DataFrame, text: str, shards: int) -> DataFrame:
-    """Packed rows; kind 0 is one row per document: ``doc_id``, class ``k`` (null without words), set size ``n``."""
+    """Packed rows; kind 0 is one row per document: ``doc_id``, class ``k`` (null without words), set size ``n``, MD5 of the text (a)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # classes of this task: at most the rows of one split
@@ -133,13 +134,14 @@ def shingled(docs: DataFrame, text: str, shards: int) -> DataFrame:
                 rows = []
                 for doc_id, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     words = raw.lower().split()
+                    row = {"kind": 0, "doc_id": doc_id, "n": 0, "a": hashlib.md5(raw).hexdigest().encode()}
+                    rows.append(row)
                     if not words:
-                        rows.append({"kind": 0, "doc_id": doc_id, "n": 0})
                         continue
                     k = xxhash.xxh3_64_intdigest(b" ".join(words))
                     k = (k - (1 << 64) if k >> 63 else k) or 1
                     s = shingles(words)
-                    rows.append({"kind": 0, "doc_id": doc_id, "k": k, "n": len(s)})
+                    row |= {"k": k, "n": len(s)}
                     if k not in seen:
                         seen.add(k)
                         held.append((k, len(s), s))
@@ -338,8 +340,8 @@ def cross_links(k: np.ndarray, root: np.ndarray, n: np.ndarray, sets_of: list[np
     return k[i], k[j]
 
 
-def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per document."""
+def grouped(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``doc_id, text_key, n, root, component_id`` per document; ``root`` names the component, null without words."""
     size = docs.select(F.sum(F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long")).alias("b")).first().b or 0
     shards = max(16, -(-size // SHARD_BYTES))
     packed = stored(shingled(docs, text, shards), "shingles")
@@ -350,10 +352,30 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     roots = components(first)
     more = stored(residual_links(lists, sets, roots), "links")
     ends = components(first.union(more))
-    rows = packed.where("kind = 0").select("doc_id", "k", "n")
+    rows = packed.where("kind = 0").select("doc_id", F.col("a").cast("string").alias("text_key"), "k", "n")
     classes = rows.where(F.col("k").isNotNull()).groupBy("k").agg(F.min("doc_id").alias("first"))
     rooted = classes.join(ends, "k", "left").select("k", "first", F.coalesce("root", "k").alias("root"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(names, "root").select("k", "component_id")
+    named = rooted.join(names, "root").select("k", "root", "component_id")
     out = rows.join(named, "k", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "text_key", "n", "root", F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per document."""
+    return grouped(docs, text).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def first_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Of each component the document with the smallest id (then text hash), with all its columns.
+
+    Documents without words are groups of their own.  A row is found again by its id and its text; repeated rows stay once.
+    """
+    seen = grouped(docs, text)
+    choice = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))).alias("one")
+    first = seen.where(F.col("root").isNotNull()).groupBy("root").agg(choice).select("one.id", "one.key")
+    alone = seen.where(F.col("root").isNull()).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
+    chosen = stored(first.union(alone), "chosen")
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.md5(F.coalesce(F.col(text), F.lit("")))})
+    kept = keyed.join(chosen, keyed["_id"].eqNullSafe(chosen["id"]) & (keyed["_key"] == chosen["key"]), "left_semi")
+    return kept.dropDuplicates(["_id", "_key"]).select(*docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import memory
-from .common import in_batches, stored
+from .common import in_batches, kept_rows, stored
 
 BUCKETS = 1 << 16  # hashed feature weights
 LEXICON = 3_000  # words per language
@@ -241,27 +241,50 @@ def label(docs: DataFrame, crf: Crf | None, text: str = "text", words: bool = Fa
     name = f"crf {zlib.crc32(packed(crf)) if crf else 0}"
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        crf = sent.value
-        ids = batch.column(0).to_pylist()
         texts = [words_of(t) for t in batch.column(1).to_pylist()]
-        out: dict[str, list] = {"doc_id": ids, "lang_pred": ["und"] * len(ids), "score": [0.0] * len(ids), "n_words": list(map(len, texts)), "n_other": [0] * len(ids)}
+        out = {"doc_id": batch.column(0)} | verdicts(texts, sent.value, memory(name, {}), words)
         if words:
-            out |= {"words": texts, "word_langs": [["und"] * len(t) for t in texts]}
-        lengths = np.array([len(t) for t in texts])
-        rows = np.flatnonzero(lengths)
-        if crf is not None and len(rows):
-            own = lengths[rows]
-            p, _ = posteriors(sequence_scores([texts[i] for i in rows], crf, memory(name, {})), own, crf.moves)
-            starts = np.cumsum(own) - own
-            sums = np.add.reduceat(p, starts, axis=0).astype(np.float64)
-            best, top = sums.argmax(1), p.argmax(1)
-            other = np.add.reduceat(top != np.repeat(best, own), starts)
-            for j, i in enumerate(rows):
-                out["lang_pred"][i] = crf.languages[best[j]]
-                out["score"][i] = float(min(1.0, sums[j, best[j]] / own[j]))
-                out["n_other"][i] = int(other[j])
-                if words:
-                    out["word_langs"][i] = [crf.languages[z] for z in top[starts[j] : starts[j] + own[j]]]
+            out["words"] = texts
         yield out
 
     return in_batches(picked, work, schema, 4 << 20)
+
+
+def verdicts(texts: list[list[str]], crf: Crf | None, known: dict, each: bool = False) -> dict[str, list]:
+    """Language, score and word counts of each text, and with ``each`` the language of every word."""
+    n = len(texts)
+    out: dict[str, list] = {"lang_pred": ["und"] * n, "score": [0.0] * n, "n_words": list(map(len, texts)), "n_other": [0] * n}
+    if each:
+        out["word_langs"] = [["und"] * len(t) for t in texts]
+    lengths = np.array([len(t) for t in texts])
+    rows = np.flatnonzero(lengths)
+    if crf is None or not len(rows):
+        return out
+    own = lengths[rows]
+    p, _ = posteriors(sequence_scores([texts[i] for i in rows], crf, known), own, crf.moves)
+    starts = np.cumsum(own) - own
+    sums = np.add.reduceat(p, starts, axis=0).astype(np.float64)
+    best, top = sums.argmax(1), p.argmax(1)
+    other = np.add.reduceat((top != np.repeat(best, own)).astype(np.int64), starts)
+    for j, i in enumerate(rows):
+        out["lang_pred"][i] = crf.languages[best[j]]
+        out["score"][i] = float(min(1.0, sums[j, best[j]] / own[j]))
+        out["n_other"][i] = int(other[j])
+        if each:
+            out["word_langs"][i] = [crf.languages[z] for z in top[starts[j] : starts[j] + own[j]]]
+    return out
+
+
+def accepted(docs: DataFrame, crf: Crf | None, least: float, text: str = "text") -> DataFrame:
+    """The documents, as they are, with a letter and a language that scores ``least``; without a model, those with a letter."""
+    sent = docs.sparkSession.sparkContext.broadcast(crf)
+    name = f"crf {zlib.crc32(packed(crf)) if crf else 0}"
+
+    def keep(texts: list[str]) -> list[bool]:
+        own = [words_of(t) for t in texts]
+        if sent.value is None:
+            return [bool(w) for w in own]
+        got = verdicts(own, sent.value, memory(name, {}))
+        return [lang != "und" and score >= least for lang, score in zip(got["lang_pred"], got["score"], strict=True)]
+
+    return kept_rows(docs, text, keep, 4 << 20)
