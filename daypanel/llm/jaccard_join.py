@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -126,6 +127,7 @@ def shingled(docs: DataFrame, text: str, shards: int) -> DataFrame:
     """Packed rows; kind 0 is one row per document: ``doc_id``, class ``k`` (null without words), set size ``n``, MD5 of the text (a)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = count()
         seen: set[int] = set()  # classes of this task: at most the rows of one split
         held: list[tuple[int, int, np.ndarray]] = []
         tokens = 0
@@ -134,7 +136,7 @@ def shingled(docs: DataFrame, text: str, shards: int) -> DataFrame:
                 rows = []
                 for doc_id, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     words = raw.lower().split()
-                    row = {"kind": 0, "doc_id": doc_id, "n": 0, "a": hashlib.md5(raw).hexdigest().encode()}
+                    row = {"kind": 0, "shard": next(turn) % shards, "doc_id": doc_id, "n": 0, "a": hashlib.md5(raw).hexdigest().encode()}
                     rows.append(row)
                     if not words:
                         continue
@@ -158,9 +160,14 @@ def shingled(docs: DataFrame, text: str, shards: int) -> DataFrame:
 
 
 def shared(packed: DataFrame, shards: int) -> DataFrame:
-    """Kind 3, by class shard: classes (a), shingles (b) and document frequencies (c), of shingles in two classes or more."""
+    """Kinds 0 and 2 as they are, and kind 3, by class shard: classes (a), shingles (b) and document frequencies (c), of shingles in two classes or more.
+
+    All kinds go through one shuffle, so the packed shingles of the corpus are on disk once.
+    """
 
     def run(group: pa.Table) -> pa.Table:
+        if group.column("kind")[0].as_py() != 1:
+            return group
         ks, tokens, marks, known = [], [], [], set()
         for a, b, c in zip(*(group.column(x).to_pylist() for x in ("a", "b", "c")), strict=True):
             k, n, t = np.frombuffer(a, np.int64), np.frombuffer(b, np.int32), np.frombuffer(c, np.uint64)
@@ -174,9 +181,8 @@ def shared(packed: DataFrame, shards: int) -> DataFrame:
         order = np.argsort(t, kind="stable")
         k, t = k[order], t[order]
         cuts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.zeros(0, np.int64)
-        count = np.diff(np.r_[cuts, len(t)])
-        df = np.where(np.isin(t[cuts], m), FREQUENT, count)
-        df = np.repeat(df, count)
+        each = np.diff(np.r_[cuts, len(t)])
+        df = np.repeat(np.where(np.isin(t[cuts], m), FREQUENT, each), each)
         k, t, df = k[df > 1], t[df > 1], df[df > 1]
         bucket = class_shard(k, shards)
         order = np.argsort(bucket, kind="stable")
@@ -188,10 +194,10 @@ def shared(packed: DataFrame, shards: int) -> DataFrame:
                 rows.append({"kind": 3, "shard": s} | pack(a=k[at], b=t[at], c=df[at]))
         return pa.Table.from_batches([record(rows)])
 
-    return packed.where("kind = 1").select("shard", "a", "b", "c").groupBy("shard").applyInArrow(run, PACKED)
+    return packed.groupBy("kind", "shard").applyInArrow(run, PACKED)
 
 
-def prefixed(packed: DataFrame, back: DataFrame) -> DataFrame:
+def prefixed(back: DataFrame) -> DataFrame:
     """``k, n, l, tokens, levels, whole`` of classes with a shared shingle in their prefix.
 
     ``tokens`` are the shared shingles of the prefix for l matches, ``levels`` the least number of matches whose prefix holds each;
@@ -245,7 +251,7 @@ def prefixed(packed: DataFrame, back: DataFrame) -> DataFrame:
         schema = pa.schema([("k", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("tokens", pa.list_(pa.int64())), ("levels", pa.list_(pa.int32())), ("whole", pa.list_(pa.int64()))])
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in schema}, schema=schema)
 
-    rows = packed.where("kind = 2").unionByName(back).select("kind", "shard", "a", "b", "c")
+    rows = back.where("kind in (2, 3)").select("kind", "shard", "a", "b", "c")
     return rows.groupBy("shard").applyInArrow(run, "k long, n int, l int, tokens array<long>, levels array<int>, whole array<long>")
 
 
@@ -344,15 +350,15 @@ def grouped(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, text_key, n, root, component_id`` per document; ``root`` names the component, null without words."""
     size = docs.select(F.sum(F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long")).alias("b")).first().b or 0
     shards = max(16, -(-size // SHARD_BYTES))
-    packed = stored(shingled(docs, text, shards), "shingles")
-    prefix = stored(prefixed(packed, shared(packed, shards)), "prefixes")
+    back = stored(shared(shingled(docs, text, shards), shards), "shingles")
+    prefix = stored(prefixed(back), "prefixes")
     sets = prefix.select("k", "n", "whole")
     lists = stored(posting_lists(prefix), "lists")
     first = stored(pivot_links(lists, sets), "links")
     roots = components(first)
     more = stored(residual_links(lists, sets, roots), "links")
     ends = components(first.union(more))
-    rows = packed.where("kind = 0").select("doc_id", F.col("a").cast("string").alias("text_key"), "k", "n")
+    rows = back.where("kind = 0").select("doc_id", F.col("a").cast("string").alias("text_key"), "k", "n")
     classes = rows.where(F.col("k").isNotNull()).groupBy("k").agg(F.min("doc_id").alias("first"))
     rooted = classes.join(ends, "k", "left").select("k", "first", F.coalesce("root", "k").alias("root"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
