@@ -107,7 +107,7 @@ def training_sample(labelled: DataFrame, sample: int) -> DataFrame:
     """At most ``sample`` documents of each ``lang``, by text hash: thinned by the counts first, then ranked."""
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     mark = (F.xxhash64("text") % 1_000_003 + 1_000_003) % 1_000_003
-    thin = labelled.join(F.broadcast(counts) if counts.count() <= 10_000 else counts, "lang").where(mark * F.col("n") < F.lit(2 * sample) * 1_000_003)
+    thin = labelled.join(F.broadcast(counts) if counts.count() <= 10_000 else counts, "lang").where(mark * F.col("n") < F.lit(2 * sample * 1_000_003).cast("long"))
     ranked = thin.withColumn("_at", F.row_number().over(Window.partitionBy("lang").orderBy(mark, "text")))
     return ranked.where(F.col("_at") <= sample).select("lang", "text")
 

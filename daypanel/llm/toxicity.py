@@ -230,7 +230,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", parts: int = 5
     # equal features are one weighted row
     mark = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
     rows = admitted.count()
-    thin = admitted.where(mark * F.lit(max(rows, 1)) < F.lit(fit_rows) * 1_000_003) if rows > fit_rows else admitted
+    thin = admitted.where(mark * F.lit(max(rows, 1)).cast("long") < F.lit(fit_rows * 1_000_003).cast("long"))  # all, where there are fewer
     fit = thin.groupBy("features", "votes").agg(F.count(F.lit(1)).alias("n")).collect()
     if fit:
         votes = np.array([[r.votes >> k & 1 for k in range(bits)] for r in fit], float)
