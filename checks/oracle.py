@@ -878,7 +878,7 @@ for p in ("ev", "od"):
         f"FROM (SELECT entity, {FIRST.format('weight')} AS s, {LAST.format('weight')} AS c, max(day) AS last_day FROM {p}s GROUP BY entity) JOIN {p}trend USING (entity)"
     )
     CTES[f"{p}goal"] = (
-        "SELECT *, CASE WHEN days_to_goal < 2000000 THEN last_day + CAST(floor(days_to_goal) AS INT) END AS goal_day FROM (SELECT *, "
+        "SELECT *, CASE WHEN floor(days_to_goal) <= DATE '9999-12-31' - last_day THEN last_day + CAST(floor(days_to_goal) AS INT) END AS goal_day FROM (SELECT *, "
         f"CASE WHEN status = 'On Track' THEN abs(kg_remaining) / abs(trend_kg_week) * 7 END AS days_to_goal FROM {p}goal0)"
     )
 oracle(
@@ -889,7 +889,7 @@ oracle(
 )
 oracle(
     "weight_scenarios",
-    "SELECT *, CASE WHEN days_to_target < 2000000 THEN last_day + CAST(floor(days_to_target) AS INT) END AS target_day FROM odscn2",
+    "SELECT *, CASE WHEN floor(days_to_target) <= DATE '9999-12-31' - last_day THEN last_day + CAST(floor(days_to_target) AS INT) END AS target_day FROM odscn2",
     "kcal last_weight daily_kg days_to_target", digits=4,
 )
 oracle(

@@ -453,9 +453,9 @@ def merge_stream(spark, sf_dir):
     old, new = panels.two_batches(spark, sf_dir)
     old = old.withColumn("w_readiness", F.lit(None).cast("double"))
     for part in (old, new.select(*old.columns)):
-        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    stream = spark.readStream.schema(old.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
-    live.upsert_stream(stream, f"{root}/store/daily", jobs.merge_daily_rows, f"{root}/checkpoint").awaitTermination()
+        part.write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(old.schema).parquet(f"{root}/landing")
+        live.upsert_stream(stream, f"{root}/store/daily", jobs.merge_daily_rows, f"{root}/checkpoint").awaitTermination()
     return jobs.read_daily_history(spark, f"{root}/store")
 
 

@@ -9,6 +9,7 @@ limited rank before they reach a window.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -82,13 +83,15 @@ def get_session(app_name: str = "daypanel", master: str | None = None) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, for tables that cut lineage and for stream checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests) a local
-    folder is taken.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a local folder is taken only if the master is
+    local (tests); on a cluster a folder of the driver's machine would be lost to the executors, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return tempfile.mkdtemp(prefix="daypanel-")
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
+        return tempfile.mkdtemp(prefix="daypanel-")
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 def by_day(*keys: str) -> WindowSpec:

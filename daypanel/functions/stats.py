@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from daypanel.core import DAY, ENTITY, by_day, frame
 
-NORMAL_TAIL_FROM = 100_000
-
 
 def rolling_mean(value: Column, size: int, min_count: int | None = None, *keys: str) -> Column:
     """Mean over the last ``size`` rows, null with fewer than ``min_count`` values in them."""
@@ -106,54 +104,67 @@ def pair_count(x: Column, y: Column) -> Column:
     return F.count(F.when(x.isNotNull() & y.isNotNull(), F.lit(1)))
 
 
-def corr_p_value(r: Column, n: Column) -> Column:
-    """Two-sided p-value of Pearson r from n pairs (Student t with n - 2 degrees of freedom).
+def half_gamma_ratio(a: Column) -> Column:
+    """Γ(a + ½) / Γ(a) for a ≥ ½: ten steps of the recurrence, then the asymptotic series at a + 10."""
+    top = a + 10.0
+    # Coefficients of the series of the logarithm.
+    series = -1.0 / (8.0 * top) + 1.0 / (192.0 * top**3) - 1.0 / (640.0 * top**5) + 17.0 / (14336.0 * top**7)
+    out = F.sqrt(top) * F.exp(series)
+    for k in range(10):
+        out = out * (a + float(k)) / (a + (k + 0.5))
+    return out
+
+
+def corr_p_value(r: Column, n: Column, terms: int = 160) -> Column:
+    """Two-sided p-value of Pearson r from n pairs (Student t with n - 2 degrees of freedom), for every n.
 
-    For whole degrees of freedom the t distribution has a finite series in cos² = 1 - r²
-    (Abramowitz & Stegun 26.7.3-4); above ``NORMAL_TAIL_FROM`` pairs the normal tail is used.
+    p is the regularised incomplete beta function I(1 - r²; ν/2, ½).  In the tail (t > 3) it is computed itself, by its
+    continued fraction, so no digits cancel however small it is; around 0 it is one minus the central probability, whose
+    power series in r² has some t² terms at any n.  Only p below what a double holds becomes 0.
     """
-    dof = (n - 2).cast("int")
-    sin = F.abs(r)
-    cos2 = F.greatest(F.lit(0.0), 1.0 - r * r)
-    odd = (dof % 2) == 1
-    # Terms after the first: floor((dof - 2) / 2) for even, (dof - 3) / 2 for odd degrees.
-    last = F.when(odd, F.floor((dof - 3) / 2)).otherwise(F.floor((dof - 2) / 2)).cast("int")
-
-    def step(acc: Column, k: Column) -> Column:
-        up = F.when(odd, 2.0 * k + 2.0).otherwise(2.0 * k + 1.0)
-        down = F.when(odd, 2.0 * k + 3.0).otherwise(2.0 * k + 2.0)
-        term = acc["term"] * up / down * cos2
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-    steps = F.when(last >= 1, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
-    series = F.aggregate(steps, start, step, lambda acc: acc["total"])
-    theta = F.asin(F.least(F.lit(1.0), sin))
-    inside = (
-        F.when(~odd, sin * series)
-        .when(dof == 1, theta * 2.0 / F.pi())
-        .otherwise((theta + sin * F.sqrt(cos2) * series) * 2.0 / F.pi())
-    )
-    exact = F.greatest(F.lit(0.0), 1.0 - inside)
-    t = F.try_divide(sin * F.sqrt(dof.cast("double")), F.nullif(F.sqrt(cos2), F.lit(0.0)))
+    dof = (n - 2).cast("double")
+    a, y = dof / 2.0, F.least(F.lit(1.0), r * r)
+    x = 1.0 - y
+    front = F.sqrt(y) * F.exp(a * F.log1p(-F.least(y, F.lit(1.0 - 1e-16)))) * half_gamma_ratio(a) / F.sqrt(F.pi())
+
+    def term(acc: Column, k: Column) -> Column:
+        t = acc["term"] * (a + 0.5 + k) / (1.5 + k) * y
+        return F.struct(t.alias("term"), (acc["total"] + t).alias("total"))
+
+    steps = F.sequence(F.lit(0), F.lit(terms))
+    one = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+    central = 1.0 - 2.0 * front * F.aggregate(steps, one, term, lambda acc: acc["total"])
+
+    # modified Lentz evaluation of the continued fraction
+    away = lambda v: F.when(F.abs(v) < 1e-300, F.lit(1e-300)).otherwise(v)
+    d0 = 1.0 / away(1.0 - (a + 0.5) * x / (a + 1.0))
+
+    def fraction(acc: Column, k: Column) -> Column:
+        m = k.cast("double") + 1.0
+        even = m * (0.5 - m) * x / ((a + 2.0 * m - 1.0) * (a + 2.0 * m))
+        odd = -(a + m) * (a + 0.5 + m) * x / ((a + 2.0 * m) * (a + 2.0 * m + 1.0))
+        d = 1.0 / away(1.0 + even * acc["d"])
+        c = away(1.0 + even / acc["c"])
+        h = acc["h"] * d * c
+        return F.struct(d.alias("d"), c.alias("c"), h.alias("h"), odd.alias("odd"))
+
+    def whole(acc: Column, k: Column) -> Column:
+        half = fraction(acc, k)
+        d = 1.0 / away(1.0 + half["odd"] * half["d"])
+        c = away(1.0 + half["odd"] / half["c"])
+        return F.struct(d.alias("d"), c.alias("c"), (half["h"] * d * c).alias("h"))
+
+    start = F.struct(d0.alias("d"), F.lit(1.0).alias("c"), d0.alias("h"))
+    tail = front / a * F.aggregate(steps, start, whole, lambda acc: acc["h"])
+    t2 = F.try_divide(y * dof, F.nullif(x, F.lit(0.0)))
     return (
         F.when(r.isNull() | (n < 3), F.lit(None).cast("double"))
-        .when(sin >= 1.0, F.lit(0.0))
-        .when(n > NORMAL_TAIL_FROM, normal_two_sided(t))
-        .otherwise(exact)
+        .when(F.abs(r) >= 1.0, F.lit(0.0))
+        .when(t2 > 9.0, tail)
+        .otherwise(F.greatest(F.lit(0.0), central))
     )
 
 
-def normal_two_sided(t: Column) -> Column:
-    """2 * (1 - Φ(|t|)), absolute error below 1.5e-7 (Abramowitz & Stegun 7.1.26)."""
-    # Published coefficients of the fit.
-    p, a = 0.3275911, (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
-    z = F.abs(t) / F.sqrt(F.lit(2.0))
-    u = 1.0 / (1.0 + p * z)
-    poly = u * (a[0] + u * (a[1] + u * (a[2] + u * (a[3] + u * a[4]))))
-    return F.coalesce(poly * F.exp(-z * z), F.lit(0.0))
-
-
 def fisher_bound(r: Column, n: Column, confidence: float, upper: bool) -> Column:
     """Confidence bound of r by Fisher's z."""
     z = NormalDist().inv_cdf((1.0 + confidence) / 2.0)

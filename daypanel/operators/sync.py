@@ -136,7 +136,7 @@ def merge_sessions(old: DataFrame | None, new: DataFrame | None) -> DataFrame:
     both = stack(old, new)
     require(both, KEYS, "session history")
     both = ensure_columns(both, SESSION_TYPES).withColumn("_key", session_key())
-    order = newest_first([DAY, "start_time", "session_id", "kcal", "duration_min"], both)
+    order = newest_first(list(dict.fromkeys([DAY, "start_time", "session_id", "kcal", "duration_min", *SESSION_TYPES])), both)
     return keep_last(both, [ENTITY, "_key"], order).drop("_source", "_key")
 
 
@@ -153,14 +153,6 @@ def blanks_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.when(F.trim(c) != "", F.col(c)) for c in text}) if text else df
 
 
-def interior_gap(column: str) -> Column:
-    """Missing here, with a value somewhere before and somewhere after in the series."""
-    before = by_day().rowsBetween(Window.unboundedPreceding, -1)
-    after = by_day().rowsBetween(1, Window.unboundedFollowing)
-    c = F.col(column)
-    return c.isNull() & (F.count(c).over(before) > 0) & (F.count(c).over(after) > 0)
-
-
 def gap_days(
     history: DataFrame, config: SyncConfig, bounds: DataFrame | None = None,
     monitored: Sequence[str] | None = None, priority: Sequence[str] | None = None,

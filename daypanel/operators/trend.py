@@ -146,13 +146,6 @@ def with_recent(daily: DataFrame, rows: int = 30) -> DataFrame:
     return daily.withColumn("_recent", rank_from_end() <= rows)
 
 
-def trend_per_week(daily: DataFrame, rows: int = 30) -> DataFrame:
-    """First to last smoothed value of the last rows, over the span of the rows, per week."""
-    parts = trend_parts(F.col("_recent"))
-    out = with_recent(daily.select(ENTITY, DAY, "weight_smoothed"), rows).groupBy(ENTITY)
-    return out.agg(*(e.alias(c) for c, e in parts.items())).select(ENTITY, trend_value().alias("trend_kg_week"))
-
-
 def goal_progress(daily: DataFrame, target: float) -> DataFrame:
     """Share complete, distance, trend, status and expected completion per entity, in one pass."""
     rows = with_recent(daily.select(ENTITY, DAY, "weight", "weight_smoothed")).groupBy(ENTITY).agg(
@@ -182,8 +175,9 @@ def goal_progress(daily: DataFrame, target: float) -> DataFrame:
 
 
 def day_after(day: str, days: Column) -> Column:
-    """The date so many whole days later; null beyond what a calendar can hold."""
-    return F.when(days < 2_000_000, F.date_add(day, F.floor(days).try_cast("int")))
+    """The date so many whole days later; null only beyond 9999-12-31, the last day of the date type."""
+    left = F.datediff(F.lit("9999-12-31").cast("date"), F.col(day))
+    return F.when(F.floor(days) <= left, F.date_add(day, F.floor(days).try_cast("int")))
 
 
 def cumulative_change(daily: DataFrame) -> DataFrame:

@@ -10,13 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from daypanel.core import DAY, ENTITY, KEYS, keep_last
-from daypanel.plans.jobs import upsert_table
+from daypanel.operators import sync
+from daypanel.operators.sessions import sample_daily
+from daypanel.plans.jobs import materialise, months_of, upsert_table
 from daypanel.sources import sinks
-from daypanel.sources.tables import path_exists
-
-# Fixed value: late corrections reach as far back as the overlap of the batch sync.
-LATENESS = "2 days"
-
 
 def upsert_stream(
     stream: DataFrame, table: str, merge: Callable, checkpoint: str, key=None, available_now: bool = True
@@ -39,40 +36,41 @@ def upsert_stream(
     return writer.start()
 
 
-def daily_samples(samples: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Running min, max and mean of samples (entity, ts, bpm) per entity and day.
-
-    Repeated samples are dropped within the watermark, as re-sent overlap days repeat them.
-    """
-    return (
-        samples.withWatermark("ts", lateness)
-        .dropDuplicatesWithinWatermark([ENTITY, "ts"])
-        .groupBy(F.window("ts", "1 day"), ENTITY)
-        .agg(F.min("bpm").alias("w_hr_min"), F.max("bpm").alias("w_hr_max"), F.avg("bpm").alias("w_hr_avg"))
-        .select(ENTITY, F.col("window.start").cast("date").alias(DAY), "w_hr_min", "w_hr_max", "w_hr_avg")
-    )
+def newest_days(old: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Upsert by (entity, day), the newer row wins."""
+    both = sync.stack(old, new)
+    return keep_last(both, KEYS, sync.newest_first([c for c in both.columns if c not in (*KEYS, "_source")], both)).drop("_source")
 
 
-def write_daily_samples(stream: DataFrame, table: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Append the updated days of every batch; readers take the newest batch per day.
+def write_daily_samples(stream: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Samples (entity, ts, bpm) merged by key, however late they come, and the summary of each day they touch.
 
-    A batch handed over again overwrites its own directory, so the result stays the same.
+    ``root/samples`` and ``root/daily`` are stored tables.  Every batch is merged into the samples, then the touched
+    days are summed up anew from all their samples.  Both publish the batch number with the data, so a batch handed over again changes
+    nothing, and readers see whole batches.  One writer per root.
     """
+    name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    samples, daily = f"{root}/samples", f"{root}/daily"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        spark = batch.sparkSession
+        version, mark = f"v=batch-{name}-{batch_id}", {f"{sinks.MARK}{name}": str(batch_id)}
+        rows = batch.where(F.col("ts").isNotNull() & F.col(ENTITY).isNotNull()).select(
+            ENTITY, F.col("ts").cast("date").alias(DAY), F.col("ts").cast("string").alias("sample_ts"), F.col("bpm").cast("double").alias("bpm")
+        )
+        landed = materialise(rows, "samples")
+        if sinks.applied_batch(spark, samples, name) < batch_id:
+            upsert_table(landed, samples, sync.merge_samples, version=version, mark=mark)
+        if sinks.applied_batch(spark, daily, name) < batch_id and (months := months_of(landed)):
+            touched = landed.select(*KEYS).distinct()
+            held = sinks.read_version(spark, samples, months).join(touched, KEYS, "left_semi")
+            upsert_table(sample_daily(held), daily, newest_days, version=version, mark=mark)
 
-    writer = (
-        daily_samples(stream).writeStream.outputMode("update").foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def read_daily_samples(spark: SparkSession, table: str) -> DataFrame | None:
-    if not path_exists(spark, f"{table}/batch=*"):
-        return None
-    rows = spark.read.option("basePath", table).parquet(f"{table}/batch=*")
-    return keep_last(rows, KEYS, [F.col("batch")]).drop("batch")
+def read_daily_samples(spark: SparkSession, root: str) -> DataFrame | None:
+    return sinks.read_version(spark, f"{root}/daily")

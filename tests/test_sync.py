@@ -182,6 +182,19 @@ def test_stream_of_samples_drops_repeats(spark, tmp_path):
     assert ordered(live.read_daily_samples(spark, str(tmp_path / "t")), "w_hr_min", "w_hr_max", "w_hr_avg") == [(60, 80, 70), (50, 50, 50)]
 
 
+def test_stream_of_samples_takes_them_late(spark, tmp_path):
+    """Samples ten days late, and a correction of an old one, reach their day as in the batch merge."""
+    landing = str(tmp_path / "landing")
+    at = lambda d, h: dt.datetime(2024, 1, d, h)
+    files = [[("a", at(10, 1), 70.0)], [("a", at(21, 1), 90.0)], [("a", at(10, 2), 40.0), ("a", at(10, 3), 100.0)], [("a", at(10, 1), 60.0)]]
+    for rows in files:
+        spark.createDataFrame(rows, "entity string, ts timestamp, bpm double").coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("entity string, ts timestamp, bpm double").parquet(landing)
+        live.write_daily_samples(stream, str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    got = ordered(live.read_daily_samples(spark, str(tmp_path / "t")), "w_hr_min", "w_hr_max", "w_hr_avg")
+    assert got == [(40, 100, 200 / 3), (90, 90, 90)]
+
+
 def test_read_history(spark, tmp_path):
     path = str(tmp_path / "h.csv")
     assert tables.read_history(spark, path, "csv") is None
