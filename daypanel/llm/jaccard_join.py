@@ -198,10 +198,10 @@ def shared(packed: DataFrame, shards: int) -> DataFrame:
 
 
 def prefixed(back: DataFrame) -> DataFrame:
-    """``k, n, l, tokens, levels, whole`` of classes with a shared shingle in their prefix.
+    """``k, n, l, tokens, levels, head, whole`` of classes with a shared shingle in their prefix.
 
     ``tokens`` are the shared shingles of the prefix for l matches, ``levels`` the least number of matches whose prefix holds each;
-    ``whole`` are all shared shingles, with which every overlap can be counted.
+    ``head`` are those of the prefix for one match, ``whole`` all shared shingles, with which every overlap can be counted.
     """
 
     def run(group: pa.Table) -> pa.Table:
@@ -223,7 +223,7 @@ def prefixed(back: DataFrame) -> DataFrame:
                 cuts = np.flatnonzero(np.r_[True, k[order][1:] != k[order][:-1]])
                 for i, j in zip(cuts, [*cuts[1:], len(k)], strict=True):
                     own.setdefault(int(k[order[i]]), []).append((t[order[i:j]], df[order[i:j]]))
-        out: dict[str, list] = {c: [] for c in ("k", "n", "l", "tokens", "levels", "whole")}
+        out: dict[str, list] = {c: [] for c in ("k", "n", "l", "tokens", "levels", "head", "whole")}
         for x, parts in own.items():
             n = sizes[x]
             t, df = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -247,12 +247,13 @@ def prefixed(back: DataFrame) -> DataFrame:
             out["l"].append(best)
             out["tokens"].append(t[chosen].view(np.int64))
             out["levels"].append(np.maximum(np.arange(len(chosen)) - short + 2, 1).astype(np.int32))
+            out["head"].append(t[order[:short]].view(np.int64))
             out["whole"].append(t.view(np.int64))
-        schema = pa.schema([("k", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("tokens", pa.list_(pa.int64())), ("levels", pa.list_(pa.int32())), ("whole", pa.list_(pa.int64()))])
+        schema = pa.schema([("k", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("tokens", pa.list_(pa.int64())), ("levels", pa.list_(pa.int32())), ("head", pa.list_(pa.int64())), ("whole", pa.list_(pa.int64()))])
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in schema}, schema=schema)
 
     rows = back.where("kind in (2, 3)").select("kind", "shard", "a", "b", "c")
-    return rows.groupBy("shard").applyInArrow(run, "k long, n int, l int, tokens array<long>, levels array<int>, whole array<long>")
+    return rows.groupBy("shard").applyInArrow(run, "k long, n int, l int, tokens array<long>, levels array<int>, head array<long>, whole array<long>")
 
 
 def posting_lists(prefix: DataFrame) -> DataFrame:
@@ -301,33 +302,41 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("k", "root")
 
 
-def residual_links(lists: DataFrame, sets: DataFrame, roots: DataFrame, tile: int = TILE) -> DataFrame:
-    """Links between classes of different components that share a prefix shingle, from tiles of at most about two times ``tile`` members."""
-    rows = lists.where("level = 1").select("list", "k", "n", "m").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
+def residual_links(lists: DataFrame, prefix: DataFrame, roots: DataFrame, tile: int = TILE) -> DataFrame:
+    """Links between classes of different components that share a prefix shingle.
+
+    Members of a mixed list meet in tiles of at most about two times ``tile``, with their prefixes only; pairs whose shared prefix
+    shingles leave a link possible are verified.
+    """
+    rows = lists.where("level = 1").select("list", "k").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
     mixed = rows.groupBy("list").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("size")).where(F.col("a") != F.col("b")).select("list", "size")
     blocks = F.ceil(F.col("size") / tile).cast("int")
     dealt = rows.join(mixed, "list").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     # a block meets itself and every other block of its list once
     with_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tiles = dealt.select("list", "k", "root", "block", with_block).select("list", "k", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    members = tiles.join(sets.select("k", "n", "whole"), "k")
+    members = tiles.join(prefix.select("k", "n", "head"), "k")
 
     def run(group: pa.Table) -> pa.Table:
         k, root, n = (group.column(c).to_numpy() for c in ("k", "root", "n"))
-        sets_of = [np.asarray(w) for w in group.column("whole").to_pylist()]
-        xs, ys = cross_links(k, root, n.astype(np.int64), sets_of)
-        return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
+        xs, ys = cross_pairs(k, root, n.astype(np.int64), [np.asarray(w, np.int64) for w in group.column("head").to_pylist()])
+        return pa.table({"x": pa.array(np.minimum(xs, ys), pa.int64()), "y": pa.array(np.maximum(xs, ys), pa.int64())})
 
-    return members.groupBy("list", "i", "j").applyInArrow(run, "x long, y long").distinct()
+    pairs = members.groupBy("list", "i", "j").applyInArrow(run, "x long, y long").distinct()
+    return verified(pairs, prefix)
 
 
-def cross_links(k: np.ndarray, root: np.ndarray, n: np.ndarray, sets_of: list[np.ndarray], width: int = 2048) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of different roots: overlaps of all members by products of incidence blocks of ``width`` shingles."""
+def cross_pairs(k: np.ndarray, root: np.ndarray, n: np.ndarray, heads: list[np.ndarray], width: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different roots that may link by their sizes and the number of prefix shingles they share.
+
+    Of the two prefixes one ends first in the global order; what both sets share up to there is in both prefixes, and the rest is
+    behind that prefix.  So the overlap is at most the shared prefix shingles plus the longer rest.
+    """
     m = len(k)
-    if m < 2 or len(np.unique(root)) < 2:
+    if m < 2 or (root == root[0]).all():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sizes = np.array([len(s) for s in sets_of])
-    flat, of = np.concatenate(sets_of), np.repeat(np.arange(m), sizes)
+    sizes = np.array([len(s) for s in heads])
+    flat, of = np.concatenate(heads), np.repeat(np.arange(m), sizes)
     _, token, count = np.unique(flat, return_inverse=True, return_counts=True)
     often = count > 1
     renamed = np.cumsum(often) - 1
@@ -338,11 +347,14 @@ def cross_links(k: np.ndarray, root: np.ndarray, n: np.ndarray, sets_of: list[np
     of, token = of[order], token[order]
     for start in range(0, int(token[-1]) + 1 if len(token) else 0, width):
         a, b = np.searchsorted(token, [start, start + width])
-        x = np.zeros((m, width), np.float32)
+        x = np.zeros((m, int(token[b - 1]) - start + 1), np.float32)
         x[of[a:b], token[a:b] - start] = 1
         both += x @ x.T
-    linked = (both * 100 >= (n[:, None] + n[None, :] - both) * SIMILARITY) & (root[:, None] != root[None, :])
-    i, j = np.nonzero(np.triu(linked, 1))
+    rest = least_overlap(n) - 1
+    total = n[:, None] + n[None, :]
+    need = -(-total * SIMILARITY // (100 + SIMILARITY))
+    may = (both > 0) & (both + np.maximum(rest[:, None], rest[None, :]) >= need) & (np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * SIMILARITY)
+    i, j = np.nonzero(np.triu(may & (root[:, None] != root[None, :]), 1))
     return k[i], k[j]
 
 
@@ -356,7 +368,7 @@ def grouped(docs: DataFrame, text: str = "text") -> DataFrame:
     lists = stored(posting_lists(prefix), "lists")
     first = stored(pivot_links(lists, sets), "links")
     roots = components(first)
-    more = stored(residual_links(lists, sets, roots), "links")
+    more = stored(residual_links(lists, prefix, roots), "links")
     ends = components(first.union(more))
     rows = back.where("kind = 0").select("doc_id", F.col("a").cast("string").alias("text_key"), "k", "n")
     classes = rows.where(F.col("k").isNotNull()).groupBy("k").agg(F.min("doc_id").alias("first"))
