@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.core import DAY, ENTITY, KEYS, SAMPLE_TYPES, SESSION_TYPES, WEARABLE_TYPES, conform
+from daypanel.core import DAY, ENTITY, KEYS, SAMPLE_TYPES, SESSION_TYPES, WEARABLE_TYPES, conform, keep_last
 from daypanel.functions import payloads as pl
 from daypanel.functions.scalars import session_group
 from daypanel.operators.sessions import session_daily
@@ -42,14 +42,16 @@ DAILY_PATHS = {
     "w_readiness": ("training_readiness", [("score",), ("value",), ("trainingReadinessScore",)]),
 }
 STATUS_PATHS = [("mostRecentTrainingStatus", "trainingStatusType"), ("trainingStatusType",), ("status",), ("value",)]
+# Key paths of the intensity minutes.
 MINUTE_PATHS = {
-    level: [(f"{level}IntensityMinutes",), ("minutes", level), (f"{level}IntensityMinutes", "value")]
-    for level in ("moderate", "vigorous")
+    "moderate": [("moderateIntensityMinutes",), ("minutes", "moderate"), ("moderateIntensityMinutes", "value")],
+    "vigorous": [("vigorousIntensityMinutes",), ("minutes", "vigorous"), ("vigorousIntensityMinutes", "value")],
 }
 SECOND_PATHS = {
-    level: [(f"{level}IntensityDurationInSeconds",), (f"{level}IntensityDuration",), ("durations", f"{level}Seconds")]
-    for level in ("moderate", "vigorous")
+    "moderate": [("moderateIntensityDurationInSeconds",), ("moderateIntensityDuration",), ("durations", "moderateSeconds")],
+    "vigorous": [("vigorousIntensityDurationInSeconds",), ("vigorousIntensityDuration",), ("durations", "vigorousSeconds")],
 }
+# Key paths and keys of body battery, activity lists and HRV.
 BATTERY_MAX_PATHS = [("bodyBatteryMax",), ("maxBodyBattery",), ("summary", "bodyBatteryMax"), ("summary", "maxBodyBattery")]
 BATTERY_MIN_PATHS = [("bodyBatteryMin",), ("minBodyBattery",), ("summary", "bodyBatteryMin"), ("summary", "minBodyBattery")]
 BATTERY_KEYS = ["bodyBattery", "bodyBatteryLevel", "charged", "chargedBodyBattery", "value"]
@@ -98,14 +100,52 @@ SESSION_NUMBER_PATHS = {
 }
 
 
+def is_full(payload: Column) -> Column:
+    """An empty payload counts as none."""
+    return F.coalesce(~F.trim(payload).isin("", "{}", "[]", "null"), F.lit(False))
+
+
+def landing(landed: DataFrame) -> list[Column]:
+    """What decides which of several payloads of a day and endpoint is the newest.
+
+    A full one before an empty one, then the landing time if the table has ``landed_at``, then a hash of the text, so that the
+    choice never depends on the order of the rows.
+    """
+    at = F.col("landed_at").cast("timestamp") if "landed_at" in landed.columns else F.lit(None).cast("timestamp")
+    return [is_full(F.col("payload")).alias("_full"), at.alias("_landed"), F.xxhash64("payload").alias("_tie")]
+
+
+NEWEST = ["_full", "_landed", "_tie"]
+
+
 def payloads_by_endpoint(landed: DataFrame) -> DataFrame:
-    """(entity, day) rows with one text column per endpoint; an empty payload counts as none."""
-    full = ~F.trim("payload").isin("", "{}", "[]", "null")
-    cells = [
-        F.first(F.when(full & (F.col("endpoint") == e), F.col("payload")), ignorenulls=True).alias(e)
-        for e in ENDPOINTS
-    ]
-    return landed.groupBy(*KEYS).agg(*cells)
+    """(entity, day) rows with one text column per endpoint, the newest landing of each; the texts themselves are exchanged.
+
+    ``normalise`` does not need this form: it parses before it exchanges anything.
+    """
+    rows = landed.select(*KEYS, "endpoint", "payload", *landing(landed))
+    of = lambda e: F.when(F.col("_full") & (F.col("endpoint") == e), F.struct("_landed", "_tie"))
+    return rows.groupBy(*KEYS).agg(*(F.max_by("payload", of(e)).alias(e) for e in ENDPOINTS))
+
+
+def as_landed(payloads: DataFrame) -> DataFrame:
+    """Landed rows (entity, day, endpoint, payload), also from the form with one column per endpoint."""
+    if "endpoint" in payloads.columns:
+        return payloads
+    have = [e for e in ENDPOINTS if e in payloads.columns]
+    return payloads.select(*KEYS, F.inline(F.array(*(F.struct(F.lit(e).alias("endpoint"), F.col(e).alias("payload")) for e in have))))
+
+
+def of_endpoint(payloads: DataFrame, endpoint: str) -> DataFrame:
+    """Full payloads of one endpoint; the filter reaches the scan of a landed table."""
+    landed = as_landed(payloads).where(F.col("endpoint") == endpoint)
+    return landed.select(*KEYS, "payload", *landing(landed)).where("_full")
+
+
+def newest_landing(rows: DataFrame) -> DataFrame:
+    """Of the rows that each payload of a day gave, those of its newest payload."""
+    order = Window.partitionBy(*KEYS).orderBy(F.col("_landed").desc_nulls_last(), F.col("_tie").desc())
+    return rows.withColumn("_r", F.rank().over(order)).where("_r = 1").drop("_r", *NEWEST)
 
 
 def battery_bounds(payload: Column, v: Column) -> tuple[Column, Column]:
@@ -116,11 +156,9 @@ def battery_bounds(payload: Column, v: Column) -> tuple[Column, Column]:
     return high, low
 
 
-def activity_count(summary: Column, activity: Column) -> Column:
-    """Count given in the summary, else length of the list, else a total field."""
-    items = pl.list_at(activity, LIST_PATHS)
-    given = pl.int_value(summary, COUNT_PATHS)
-    return F.coalesce(given, F.size(items), pl.int_value(activity, TOTAL_PATHS)).cast("int")
+def listed_count(activity: Column) -> Column:
+    """Length of the list of an activity payload, else a total field; a count given in the day's summary comes before it."""
+    return F.coalesce(F.size(pl.list_at(activity, LIST_PATHS)), pl.int_value(activity, TOTAL_PATHS))
 
 
 def is_number(v: Column, path: pl.Path) -> Column:
@@ -156,14 +194,17 @@ def session_items(activity: Column) -> Column:
     return pl.objects_only(pl.list_at(activity, LIST_PATHS))
 
 
-def session_rows(by_endpoint: DataFrame, details: DataFrame | None = None) -> DataFrame:
+def session_rows(payloads: DataFrame, details: DataFrame | None = None) -> DataFrame:
     """One row per landed session; keys of a landed detail payload override the summary's.
 
-    ``details`` has (entity, session_id, payload).
+    ``payloads`` are landed rows or rows by endpoint; ``details`` has (entity, session_id, payload).  A day's newest payload holds
+    all its sessions, so an empty list there leaves the day without any.
     """
-    rows = by_endpoint.select(*KEYS, pl.parsed(F.col("activity")).alias("_a")).select(
-        *KEYS, F.explode(session_items(F.col("_a"))).alias("_s")
+    rows = of_endpoint(payloads, "activity").select(*KEYS, *NEWEST, pl.parsed(F.col("payload")).alias("_a")).select(
+        *KEYS, *NEWEST, F.explode_outer(session_items(F.col("_a"))).alias("_s")
     )
+    # only the item's fields go through the exchange, never the list
+    rows = newest_landing(rows).where(F.col("_s").isNotNull())
     rows = rows.withColumn("_sid", pl.int_value(F.col("_s"), SESSION_ID_PATHS))
     if details is not None:
         landed = details.select(
@@ -212,10 +253,11 @@ def sample_items(v: Column) -> Column:
     return F.filter(items, lambda i: i["sample_ts"].isNotNull() & i["bpm"].isNotNull())
 
 
-def sample_rows(by_endpoint: DataFrame) -> DataFrame:
-    """One row per intraday sample."""
-    rows = by_endpoint.filter(F.col("heart_rate").isNotNull()).select(*KEYS, pl.parsed(F.col("heart_rate")).alias("_v"))
-    return conform(rows.select(*KEYS, F.inline(sample_items(F.col("_v")))), SAMPLE_TYPES)
+def sample_rows(payloads: DataFrame) -> DataFrame:
+    """One row per intraday sample of the newest heart-rate payload of each day."""
+    rows = of_endpoint(payloads, "heart_rate").select(*KEYS, *NEWEST, pl.parsed(F.col("payload")).alias("_v"))
+    rows = rows.select(*KEYS, *NEWEST, F.inline_outer(sample_items(F.col("_v"))))
+    return conform(newest_landing(rows).where("sample_ts is not null"), SAMPLE_TYPES)
 
 
 def known(values: Column) -> Column:
@@ -243,42 +285,55 @@ def session_summary(items: Column) -> dict[str, Column]:
     }
 
 
-def daily_rows(by_endpoint: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+def daily_rows(payloads: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
     """The flat wearable day: payload fields plus the summaries of its samples and sessions.
 
-    Everything of a day is in one row, so one pass without a join builds it.  Only when session
-    details override the summaries, the daily session totals come from ``sessions``.
+    Every landed row is parsed where it is read and gives the few numbers of its endpoint; only these are exchanged.  The newest landing per
+    endpoint wins, then one aggregate puts a day together.  Only when session details override the summaries, the
+    daily session totals come from ``sessions``.
     """
-    v = {e: F.col(f"_{e}") for e in ENDPOINTS}
-    rows = by_endpoint.withColumns({f"_{e}": pl.parsed(F.col(e)) for e in ENDPOINTS})
-    rows = rows.withColumns({"_samples": sample_items(v["heart_rate"]), "_sessions": session_items(v["activity"])})
-    intensity = F.coalesce(v["intensity"], v["summary"])
-    high, low = battery_bounds(F.col("body_battery"), v["body_battery"])
+    landed = as_landed(payloads)
+    rows = landed.select(*KEYS, "endpoint", "payload", *landing(landed))
+    rows = rows.withColumn("_v", pl.parsed(F.when(F.col("_full"), F.col("payload"))))
+    v, at = F.col("_v"), lambda e: F.col("endpoint") == e
+    rows = rows.withColumns({
+        "_samples": F.when(at("heart_rate"), sample_items(v)), "_sessions": F.when(at("activity"), session_items(v)),
+    })
+    text = F.when(F.col("_full"), F.col("payload"))
+    high, low = battery_bounds(text, v)
     bpm = F.col("_samples.bpm")
-    fields = {c: pl.number_value(v[e], paths) for c, (e, paths) in DAILY_PATHS.items()}
+    level = lambda k: pl.duration_minutes(v, MINUTE_PATHS[k], SECOND_PATHS[k])
+    fields = {c: F.when(at(e), pl.number_value(v, paths)) for c, (e, paths) in DAILY_PATHS.items()}
     fields |= {
-        "w_body_battery_max": high,
-        "w_body_battery_min": low,
-        "w_moderate_min": pl.duration_minutes(intensity, MINUTE_PATHS["moderate"], SECOND_PATHS["moderate"]),
-        "w_vigorous_min": pl.duration_minutes(intensity, MINUTE_PATHS["vigorous"], SECOND_PATHS["vigorous"]),
-        "w_session_count": activity_count(v["summary"], v["activity"]),
+        "w_body_battery_max": F.when(at("body_battery"), high),
+        "w_body_battery_min": F.when(at("body_battery"), low),
+        "_has_intensity": F.when(at("intensity"), v.isNotNull()),
+        **{f"_{e}_{k}": F.when(at(e), level(k)) for e in ("intensity", "summary") for k in ("moderate", "vigorous")},
+        "_count_given": F.when(at("summary"), pl.int_value(v, COUNT_PATHS).cast("int")),
+        "_count_listed": F.when(at("activity"), listed_count(v).cast("int")),
         "w_hr_min": F.array_min(bpm),
         "w_hr_max": F.array_max(bpm),
         "w_hr_avg": mean_of(bpm),
-        "w_hrv": hrv_value(F.col("hrv"), v["hrv"], F.col(DAY)),
-        "w_training_status": pl.text_value(v["training_status"], STATUS_PATHS),
+        "w_hrv": F.when(at("hrv"), hrv_value(text, v, F.col(DAY))),
+        "w_training_status": F.when(at("training_status"), pl.text_value(v, STATUS_PATHS)),
     }
     if sessions is None:
-        fields |= session_summary(F.col("_sessions"))
-    flat = rows.select(*KEYS, *(e.alias(c) for c, e in fields.items()))
+        fields |= {c: F.when(at("activity"), e) for c, e in session_summary(F.col("_sessions")).items()}
+    parsed = rows.select(*KEYS, "endpoint", *NEWEST, *(e.alias(c) for c, e in fields.items()))
+    newest = keep_last(parsed, [*KEYS, "endpoint"], [F.col(c) for c in NEWEST])
+    days = newest.groupBy(*KEYS).agg(*(F.max(c).alias(c) for c in fields))
+    has = F.coalesce("_has_intensity", F.lit(False))
+    flat = days.withColumns({
+        **{f"w_{k}_min": F.when(has, F.col(f"_intensity_{k}")).otherwise(F.col(f"_summary_{k}")) for k in ("moderate", "vigorous")},
+        "w_session_count": F.coalesce("_count_given", "_count_listed"),
+    })
     if sessions is not None:
         flat = flat.join(session_daily(sessions), KEYS, "left")
     return conform(flat, WEARABLE_TYPES)
 
 
 def normalise(landed: DataFrame, details: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Daily, session and sample rows of landed payloads (entity, day, endpoint, payload)."""
-    by_endpoint = payloads_by_endpoint(landed)
-    sessions = session_rows(by_endpoint, details)
-    daily = daily_rows(by_endpoint, None if details is None else sessions)
-    return daily, sessions, sample_rows(by_endpoint)
+    """Daily, session and sample rows of landed payloads (entity, day, endpoint, payload and, if known, landed_at)."""
+    sessions = session_rows(landed, details)
+    daily = daily_rows(landed, None if details is None else sessions)
+    return daily, sessions, sample_rows(landed)

@@ -134,8 +134,9 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 
 
 def read_payloads(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Landed endpoint payloads (entity, day, endpoint, payload)."""
-    return to_day(read_any(spark, path, fmt)).select(ENTITY, DAY, "endpoint", "payload")
+    """Landed endpoint payloads (entity, day, endpoint, payload), with their landing time where the table has it."""
+    rows = ensure_columns(to_day(read_any(spark, path, fmt)), {"landed_at": "timestamp"})
+    return rows.select(ENTITY, DAY, "endpoint", "payload", F.col("landed_at").cast("timestamp").alias("landed_at"))
 
 
 def read_foods(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -23,6 +23,24 @@ def daily(spark, **payloads):
     return payload.normalise(landed(spark, **payloads))[0].first().asDict()
 
 
+def test_newest_landing_wins(spark):
+    """A day's payload fetched again replaces the earlier one, in any order of the rows; an empty one does not."""
+    at = lambda h: dt.datetime(2024, 1, 3, h)
+    beat = lambda x: json.dumps({"restingHeartRate": x, "heartRateValues": [{"time": "t", "bpm": x}]})
+    ride = lambda *ids: json.dumps({"activities": [{"activityId": i, "duration": 5} for i in ids]})
+    rows = [
+        ("a", DAY, "heart_rate", beat(50), at(1)), ("a", DAY, "heart_rate", beat(60), at(2)), ("a", DAY, "heart_rate", "{}", at(3)),
+        ("a", DAY, "activity", ride(1, 2), at(1)), ("a", DAY, "activity", ride(3), at(2)), ("b", DAY, "activity", ride(1), at(1)), ("b", DAY, "activity", '{"activities":[]}', at(2)),
+    ]
+    for order in (rows, rows[::-1]):
+        landed_rows = spark.createDataFrame(order, "entity string, day date, endpoint string, payload string, landed_at timestamp").coalesce(1)
+        days, sessions, samples = payload.normalise(landed_rows)
+        assert {r["entity"]: (r["w_resting_hr"], r["w_session_min"]) for r in days.collect()} == {"a": (60.0, 5.0), "b": (None, None)}
+        assert [(r["entity"], r["session_id"]) for r in sessions.collect()] == [("a", 3)]
+        assert [r["bpm"] for r in samples.collect()] == [60.0]
+        assert payload.payloads_by_endpoint(landed_rows).where("entity = 'a'").first()["heart_rate"] == beat(60)
+
+
 def test_flat_day(spark):
     row = daily(
         spark, summary={"totalSteps": 9000, "totalDistanceMeters": 6500.5, "activeKilocalories": 450},
