@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, credentials, decontamination, jaccard_join, kneser_ney, language_crf, quality_rules, sharding, token_counts, toxicity
+from . import chunk_bpe, credentials, decontamination, jaccard_join, kneser_ney, language_crf, packing, quality_rules, sharding, token_counts, toxicity
 from .common import table
 
 
@@ -59,7 +59,12 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.label(docs, crf).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_words", "n_other")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op8_kneser_ney, op9_jaccard_join, op10_language_crf)}
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op8_kneser_ney, op9_jaccard_join, op10_language_crf, op12_best_fit_packing)}
 
 # DuckDB SQL for the rows of a query.
 ORACLE = {
