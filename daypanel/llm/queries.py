@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, credentials, decontamination, jaccard_join, kneser_ney, language_crf, packing, quality_rules, sharding, token_counts, toxicity
+from . import chunk_bpe, conversation_repair, credentials, decontamination, jaccard_join, kneser_ney, language_crf, packing, quality_rules, sharding, token_counts, toxicity
 from .common import table
 
 
@@ -64,7 +64,12 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op8_kneser_ney, op9_jaccard_join, op10_language_crf, op12_best_fit_packing)}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.digests(*conversation_repair.repair(conversation_repair.damage(conversations), conversations))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op8_kneser_ney, op9_jaccard_join, op10_language_crf, op12_best_fit_packing, op13_conversation_repair)}
 
 # DuckDB SQL for the rows of a query.
 ORACLE = {
