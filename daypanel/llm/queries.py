@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, conversation_repair, credentials, decontamination, jaccard_join, kneser_ney, language_crf, packing, quality_rules, sharding, token_counts, toxicity
+from . import chunk_bpe, conversation_repair, credentials, decontamination, jaccard_join, kneser_ney, language_crf, packing, quality_rules, sharding, spelling, token_counts, toxicity
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.label(docs, crf).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_words", "n_other")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -69,7 +73,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digests(*conversation_repair.repair(conversation_repair.damage(conversations), conversations))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op8_kneser_ney, op9_jaccard_join, op10_language_crf, op12_best_fit_packing, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_credentials, op4_latent_retrieval, op5_byte_bpe, op6_label_propagation, op7_toxicity, op8_kneser_ney, op9_jaccard_join, op10_language_crf, op11_spelling_variants, op12_best_fit_packing, op13_conversation_repair)}
 
 # DuckDB SQL for the rows of a query.
 ORACLE = {
