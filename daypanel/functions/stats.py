@@ -105,63 +105,65 @@ def pair_count(x: Column, y: Column) -> Column:
 
 
 def half_gamma_ratio(a: Column) -> Column:
-    """Γ(a + ½) / Γ(a) for a ≥ ½: ten steps of the recurrence, then the asymptotic series at a + 10."""
+    """Γ(a + ½) / Γ(a) for a ≥ ½: ten steps of the recurrence as one quotient, then the asymptotic series at a + 10."""
     top = a + 10.0
     # Coefficients of the series of the logarithm.
-    series = -1.0 / (8.0 * top) + 1.0 / (192.0 * top**3) - 1.0 / (640.0 * top**5) + 17.0 / (14336.0 * top**7)
-    out = F.sqrt(top) * F.exp(series)
+    series = -1.0 / (8.0 * top) + 1.0 / (192.0 * F.pow(top, F.lit(3.0))) - 1.0 / (640.0 * F.pow(top, F.lit(5.0))) + 17.0 / (14336.0 * F.pow(top, F.lit(7.0)))
+    above, below = F.lit(1.0), F.lit(1.0)
     for k in range(10):
-        out = out * (a + float(k)) / (a + (k + 0.5))
-    return out
+        above, below = above * (a + float(k)), below * (a + (k + 0.5))
+    return F.sqrt(top) * F.exp(series) * (above / below)
 
 
-def corr_p_value(r: Column, n: Column, terms: int = 160) -> Column:
+def corr_p_value(r: Column, n: Column) -> Column:
     """Two-sided p-value of Pearson r from n pairs (Student t with n - 2 degrees of freedom), for every n.
 
-    p is the regularised incomplete beta function I(1 - r²; ν/2, ½).  In the tail (t > 3) it is computed itself, by its
-    continued fraction, so no digits cancel however small it is; around 0 it is one minus the central probability, whose
-    power series in r² has some t² terms at any n.  Only p below what a double holds becomes 0.
+    p is the regularised incomplete beta function I(1 - r²; a, ½) with a = (n - 2) / 2.  Where r² lies above 1.5 / (a + 2.5), p is
+    computed itself, by its continued fraction, so no digits cancel however small it is; below, it is one minus the central
+    probability, whose power series in r² converges like that of an exponential function.  The branch is chosen before either loop
+    starts, and the number of steps follows from the distance to that edge, so a strong correlation takes a few steps only.
+    What the steps share is computed once and travels in the accumulator.  Only p below what a double holds becomes 0.
     """
-    dof = (n - 2).cast("double")
-    a, y = dof / 2.0, F.least(F.lit(1.0), r * r)
-    x = 1.0 - y
-    front = F.sqrt(y) * F.exp(a * F.log1p(-F.least(y, F.lit(1.0 - 1e-16)))) * half_gamma_ratio(a) / F.sqrt(F.pi())
-
-    def term(acc: Column, k: Column) -> Column:
-        t = acc["term"] * (a + 0.5 + k) / (1.5 + k) * y
-        return F.struct(t.alias("term"), (acc["total"] + t).alias("total"))
+    a, y = (n - 2).cast("double") / 2.0, F.least(F.lit(1.0), r * r)
+    in_tail = y * (a + 2.5) > 1.5
 
-    steps = F.sequence(F.lit(0), F.lit(terms))
-    one = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-    central = 1.0 - 2.0 * front * F.aggregate(steps, one, term, lambda acc: acc["total"])
+    def series(acc: Column, k: Column) -> Column:
+        term = acc["term"] * (acc["a"] + 0.5 + k) / (1.5 + k) * acc["y"]
+        return F.struct(acc["a"].alias("a"), acc["y"].alias("y"), term.alias("term"), (acc["total"] + term).alias("total"))
 
-    # modified Lentz evaluation of the continued fraction
-    away = lambda v: F.when(F.abs(v) < 1e-300, F.lit(1e-300)).otherwise(v)
-    d0 = 1.0 / away(1.0 - (a + 0.5) * x / (a + 1.0))
+    # From three pairs on the terms fall at least twofold; with many pairs they fall like 1 / k!.
+    series_start = F.struct(a.alias("a"), y.alias("y"), F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+    central = F.aggregate(F.sequence(F.lit(0), F.lit(44)), series_start, series, lambda acc: 2.0 * acc["total"])
 
+    # Lentz evaluation; for x below the edge no partial denominator is 0.
     def fraction(acc: Column, k: Column) -> Column:
-        m = k.cast("double") + 1.0
+        a, x, m = acc["a"], acc["x"], k.cast("double")
         even = m * (0.5 - m) * x / ((a + 2.0 * m - 1.0) * (a + 2.0 * m))
         odd = -(a + m) * (a + 0.5 + m) * x / ((a + 2.0 * m) * (a + 2.0 * m + 1.0))
-        d = 1.0 / away(1.0 + even * acc["d"])
-        c = away(1.0 + even / acc["c"])
-        h = acc["h"] * d * c
-        return F.struct(d.alias("d"), c.alias("c"), h.alias("h"), odd.alias("odd"))
-
-    def whole(acc: Column, k: Column) -> Column:
-        half = fraction(acc, k)
-        d = 1.0 / away(1.0 + half["odd"] * half["d"])
-        c = away(1.0 + half["odd"] / half["c"])
-        return F.struct(d.alias("d"), c.alias("c"), (half["h"] * d * c).alias("h"))
-
-    start = F.struct(d0.alias("d"), F.lit(1.0).alias("c"), d0.alias("h"))
-    tail = front / a * F.aggregate(steps, start, whole, lambda acc: acc["h"])
-    t2 = F.try_divide(y * dof, F.nullif(x, F.lit(0.0)))
+        d1, c1 = 1.0 / (1.0 + even * acc["d"]), 1.0 + even / acc["c"]
+        return F.struct(a.alias("a"), x.alias("x"), odd.alias("odd"), d1.alias("d"), c1.alias("c"), (acc["h"] * d1 * c1).alias("h"))
+
+    def second_half(acc: Column) -> Column:
+        d2, c2 = 1.0 / (1.0 + acc["odd"] * acc["d"]), 1.0 + acc["odd"] / acc["c"]
+        return F.struct(acc["a"].alias("a"), acc["x"].alias("x"), acc["odd"].alias("odd"), d2.alias("d"), c2.alias("c"), (acc["h"] * d2 * c2).alias("h"))
+
+    def both_halves(acc: Column, k: Column) -> Column:
+        # An inner aggregate over one element binds the first half, so its parts are not computed anew for every use.
+        return F.aggregate(F.array(k), acc, fraction, second_half)
+
+    x = 1.0 - y
+    d0 = 1.0 / (1.0 - (a + 0.5) * x / (a + 1.0))
+    fraction_start = F.struct(a.alias("a"), x.alias("x"), F.lit(0.0).alias("odd"), d0.alias("d"), F.lit(1.0).alias("c"), d0.alias("h"))
+    beyond = y * (a + 2.5) / 1.5
+    steps = (4 + F.ceil(40.0 * F.pow(F.greatest(F.lit(1.0), beyond), F.lit(-0.8)))).cast("int")
+    tail = F.aggregate(F.sequence(F.lit(1), steps), fraction_start, both_halves, lambda acc: acc["h"] / acc["a"])
+
+    front = F.sqrt(y) * F.exp(a * F.log1p(-F.least(y, F.lit(1.0 - 1e-16)))) * half_gamma_ratio(a) / F.sqrt(F.pi())
     return (
         F.when(r.isNull() | (n < 3), F.lit(None).cast("double"))
         .when(F.abs(r) >= 1.0, F.lit(0.0))
-        .when(t2 > 9.0, tail)
-        .otherwise(F.greatest(F.lit(0.0), central))
+        .when(in_tail, front * tail)
+        .otherwise(F.greatest(F.lit(0.0), 1.0 - front * central))
     )
 
 

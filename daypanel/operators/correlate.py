@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.core import DAY, ENTITY, ensure_columns, numeric
+from daypanel.core import DAY, ENTITY, by_day, ensure_columns, numeric
 from daypanel.functions.stats import corr_p_value, fisher_bound, pair_count, safe_corr
 
 # Wearable metrics of the lag report, label to column.
@@ -30,16 +30,15 @@ LAG_METRICS = {
 WATER_NUTRIENTS = ["sodium", "carbs", "water"]
 
 
-def long_metrics(
+def wide_metrics(
     daily: DataFrame, metrics: Sequence[str] | Mapping[str, str], targets: Mapping[str, str]
-) -> DataFrame:
-    """(entity, day, targets, metric, x): one row per day and metric; absent columns are null."""
+) -> tuple[DataFrame, list[str]]:
+    """(entity, day, targets, x) with all metrics of a day in the array x, and their labels; absent columns are null."""
     named = dict(metrics) if isinstance(metrics, Mapping) else {m: m for m in metrics}
     columns = [*named.values(), *targets.values()]
     daily = numeric(ensure_columns(daily, {c: "double" for c in named.values()}), columns)
     ys = [F.col(c).alias(y) for y, c in targets.items()]
-    wide = daily.select(ENTITY, DAY, *ys, *(F.col(c).alias(label) for label, c in named.items()))
-    return wide.unpivot([ENTITY, DAY, *targets], list(named), "metric", "x")
+    return daily.select(ENTITY, DAY, *ys, F.array(*(F.col(c).cast("double") for c in named.values())).alias("x")), list(named)
 
 
 def lag_correlations(
@@ -56,15 +55,15 @@ def lag_correlations_with(
 ) -> DataFrame:
     """(target, entity, metric, lag, n, r) for several target series in one pass.
 
-    The metrics are unpivoted first, so that one window gives all lags and one aggregate gives all
-    correlations, both partitioned by (entity, metric): rows grow by the number of metrics,
-    not by metrics times lags, and the aggregate needs no exchange after the window.
+    One window by entity shifts the array of all metrics, so it shares the panel's partitioning and sort.  Metrics become rows
+    only after it: the rows stay where they are, and the aggregate by (entity, metric) needs no exchange of its own.
     """
     names = {f"_y{i}": c for i, c in enumerate(targets.values())}
-    rows = long_metrics(daily, metrics, names)
-    spec = Window.partitionBy(ENTITY, "metric").orderBy(DAY)
+    rows, labels = wide_metrics(daily, metrics, names)
     lags = range(max_lag + 1)
-    rows = rows.withColumns({f"_x{k}": F.lag("x", k).over(spec) if k else F.col("x") for k in lags})
+    rows = rows.withColumns({f"_x{k}": F.lag("x", k).over(by_day()) if k else F.col("x") for k in lags})
+    cell = [F.struct(F.lit(m).alias("metric"), *(F.col(f"_x{k}")[i].alias(f"_x{k}") for k in lags)) for i, m in enumerate(labels)]
+    rows = rows.select(ENTITY, *names, F.inline(F.array(*cell)))
     aggs, cells = [], []
     for y, label in zip(names, targets):
         for k in lags:

@@ -136,6 +136,45 @@ def exact_p(r: str, n: int) -> Decimal:
         return 1 - sin * total
 
 
+def arctan(x: Decimal) -> Decimal:
+    """Halving the angle eight times, then its power series."""
+    for _ in range(8):
+        x = x / (1 + (1 + x * x).sqrt())
+    term, total, k = x, x, 1
+    while abs(term) > Decimal(10) ** -200:
+        term *= -x * x
+        k += 2
+        total += term / k
+    return total * 256
+
+
+def exact_p_odd(r: str, n: int) -> Decimal:
+    """The finite series for an odd number of degrees of freedom, with 190 digits."""
+    with localcontext() as ctx:
+        ctx.prec = 200
+        sin = Decimal(r)
+        cos = (1 - sin * sin).sqrt()
+        term, total = cos, cos if n > 3 else Decimal(0)
+        for k in range(1, (n - 3) // 2):
+            term *= Decimal(2 * k) / Decimal(2 * k + 1) * cos * cos
+            total += term
+        return 1 - (arctan(sin / cos) + sin * total) / (2 * arctan(Decimal(1)))
+
+
+@pytest.mark.parametrize("r", ["0.0003", "0.02", "0.2", "0.5", "0.7", "0.71", "0.9", "0.95", "0.9486", "0.9999"])
+@pytest.mark.parametrize("n", [3, 5, 7, 11, 25, 99, 1001, 20_001])
+def test_p_value_odd_degrees(spark, r, n):
+    want = float(exact_p_odd(r, n))
+    if 0.0 < want and (want > 1e-180 or n < 1000):
+        assert one(spark, p=corr_p_value(F.lit(float(r)), F.lit(n)))["p"] == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize("r", ["0.0001", "0.00123", "0.0025", "0.01"])
+def test_p_value_of_a_million_pairs(spark, r):
+    got = one(spark, p=corr_p_value(F.lit(float(r)), F.lit(1_000_000)))["p"]
+    assert got == pytest.approx(float(exact_p(r, 1_000_000)), rel=1e-9)
+
+
 @pytest.mark.parametrize("r, n", [
     ("0.9", 200), ("0.4", 1000), ("0.03", 100_000), ("0.03", 100_002), ("0.001", 100_000), ("0.5", 6), ("0.95", 10), ("0.99", 102), ("0.1", 40_000),
     ("0.6", 12), ("0.02", 22_500), ("0.021", 22_500), ("0.3", 102), ("0.0001", 50),
