@@ -35,6 +35,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """A column name beginning with ``name`` that none of the columns has, in either case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_stored(spark: SparkSession, df: DataFrame) -> None:
     """Remove the files of a table made by ``stored`` once nothing reads it any more."""
     hadoop = spark._jsc.hadoopConfiguration()

@@ -3,14 +3,16 @@
 Every text is scanned once.  Matches of a pattern and the gaps between them alternate, so lengths of both give the
 positions; the table of lengths is written without the texts, and all that follows works on it.  Strong parts (assigned
 secrets, access identifiers, long hex runs) are always reported.  Weak parts (loose random-looking strings, login names,
-endpoints) are reported only where a complementary part lies within ``scope`` code points: a secret needs an identifier
-or an endpoint, these need a secret.
+endpoints) are reported only where a complementary part lies within ``scope`` code points, counted between the nearer ends of the
+two intervals, however long either is: a secret needs an identifier or an endpoint, these need a secret.
 
-The interval join goes by blocks of ``scope`` code points.  Per block and role only the first and last start matter,
-so each part meets at most three summary rows, however many parts a text has.
+The interval join goes by blocks of ``scope`` code points.  Per block and role only the first start and the last stop of the
+parts that reach into it matter, so a part meets four summary rows and one for each further block it reaches, however many parts a
+text has.
 
 Defined results: a null text is empty and has no spans; repeated rows are scanned each; columns besides ``doc_id`` and
-the text are ignored; an empty table gives an empty result.
+the text are ignored, whatever their names; an empty table gives an empty result.  Parts with equal bounds of different kinds are
+reported each; a very long text is one row with the lengths of its matches and gaps, and its links go by blocks.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, unused
 
 SCOPE = 256
 MASK = "[removed]"
@@ -100,22 +102,25 @@ def of_kind(field: str) -> Column:
 
 def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Weak parts with a complementary part in scope, and outside of every strong part."""
-    block = F.floor(F.col("start") / scope).cast("int")
-    roled = parts.withColumns({"role": of_kind("role"), "strong": of_kind("strong"), "block": block})
+    roled = parts.withColumns({"role": of_kind("role"), "strong": of_kind("strong")})
+    blocks = lambda first, last: F.explode(F.sequence(F.floor(first / scope), F.floor(last / scope))).alias("at")
     near = lambda role: [
         F.min(F.when(F.col("role") == role, F.col("start"))).alias(f"{role}_first"),
-        F.max(F.when(F.col("role") == role, F.col("start"))).alias(f"{role}_last"),
+        F.max(F.when(F.col("role") == role, F.col("stop"))).alias(f"{role}_last"),
     ]
-    blocks = roled.groupBy("row", "block").agg(*near("id"), *near("secret"), *near("endpoint")).withColumnRenamed("block", "at")
-    weak = roled.where(~F.col("strong")).select("row", "kind", "role", "start", "stop", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("at"))
+    # a long part is entered in every block it reaches
+    entered = roled.select("row", "role", "start", "stop", blocks(F.col("start"), F.col("stop") - 1))
+    summed = entered.groupBy("row", "at").agg(*near("id"), *near("secret"), *near("endpoint"))
+    weak = roled.where(~F.col("strong")).select("row", "kind", "role", "start", "stop", blocks(F.greatest(F.col("start") - scope - 1, F.lit(0)), F.col("stop") + scope))
 
     def meets(role: str) -> Column:
-        first, last, s = F.col(f"{role}_first"), F.col(f"{role}_last"), F.col("start")
-        # the first and the last start of a block decide whether any lies in [s - scope, s + scope]
-        return F.coalesce(first.between(s - scope, s + scope) | last.between(s - scope, s + scope), F.lit(False))
+        # Blocks between the ends of the reach hold only parts that meet it.  In the first block only the last stop can fall short,
+        # in the last block only the first start, and the reach is wider than a block; so both extremes decide exactly.
+        near_enough = (F.col(f"{role}_first") <= F.col("stop") + scope) & (F.col(f"{role}_last") >= F.col("start") - scope)
+        return F.coalesce(near_enough, F.lit(False))
 
     complete = F.when(F.col("role") == "secret", meets("id") | meets("endpoint")).otherwise(meets("secret"))
-    pairs = weak.join(blocks, ["row", "at"]).where(complete).select("row", "kind", "start", "stop").distinct()
+    pairs = weak.join(summed, ["row", "at"]).where(complete).select("row", "kind", "start", "stop").distinct()
     # a weak part inside or across a strong one is part of that finding
     strong = roled.where("strong").select("row", F.col("start").alias("s_start"), F.col("stop").alias("s_stop"))
     over = covered(pairs, strong, scope)
@@ -159,8 +164,11 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, found: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
     """The documents with every span replaced by ``mask``; overlapping spans are replaced once."""
     columns = docs.columns
-    keyed = found.where(F.size("spans") > 0).select(F.col("text_key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_key"])
-    joined = docs.withColumn("_key", F.md5(F.coalesce(F.col(text), F.lit("")))).join(keyed, "_key", "left")
+    key, spans = unused(columns, "key"), unused(columns, "spans")
+    keyed = found.where(F.size("spans") > 0).select(F.col("text_key").alias(key), F.col("spans").alias(spans)).dropDuplicates([key])
+    # Texts without a character have no span, so their key only has to be dealt evenly.
+    own = F.when(F.length(text) > 0, F.md5(F.col(text)))
+    joined = docs.withColumn(key, F.coalesce(own, F.concat(F.lit("-"), F.col("doc_id").cast("string")), F.lit("-"))).join(keyed, key, "left")
     t = F.col(text)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -169,5 +177,5 @@ def redact(docs: DataFrame, found: DataFrame, text: str = "text", mask: str = MA
         gap = F.concat(t.substr(a["at"] + 1, begin - a["at"]), F.when(s["start"] >= a["at"], F.lit(mask)).otherwise(F.lit("")))
         return F.struct(F.greatest(s["stop"], a["at"]).alias("at"), F.concat(a["out"], gap).alias("out"))
 
-    clean = F.aggregate("_spans", start, step, lambda a: F.concat(a["out"], t.substr(a["at"] + 1, F.length(t))))
-    return joined.withColumn(text, F.when(F.col("_spans").isNotNull(), clean).otherwise(t)).select(*columns)
+    clean = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], t.substr(a["at"] + 1, F.length(t))))
+    return joined.withColumn(text, F.when(F.col(spans).isNotNull(), clean).otherwise(t)).select(*columns)
