@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, utf8
+from .common import slices, stored, unused, utf8
 
 WORDS = 5
 SIMILARITY = 75  # percent
@@ -394,6 +394,10 @@ def first_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     first = seen.where(F.col("root").isNotNull()).groupBy("root").agg(choice).select("one.id", "one.key")
     alone = seen.where(F.col("root").isNull()).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
     chosen = stored(first.union(alone), "chosen")
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.md5(F.coalesce(F.col(text), F.lit("")))})
-    kept = keyed.join(chosen, keyed["_id"].eqNullSafe(chosen["id"]) & (keyed["_key"] == chosen["key"]), "left_semi")
-    return kept.dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    id_, key = unused(docs.columns, "id"), unused(docs.columns, "key")
+    chosen = chosen.select(F.col("id").alias("chosen_id"), F.col("key").alias("chosen_key"))
+    chosen = chosen.toDF(unused([*docs.columns, id_, key], "chosen_id"), unused([*docs.columns, id_, key], "chosen_key"))
+    same_id, same_key = (F.col(c) for c in chosen.columns)
+    keyed = docs.withColumns({id_: F.col("doc_id").cast("long"), key: F.md5(F.coalesce(F.col(text), F.lit("")))})
+    kept = keyed.join(chosen, F.col(id_).eqNullSafe(same_id) & (F.col(key) == same_key), "left_semi")
+    return kept.dropDuplicates([id_, key]).select(*docs.columns)

@@ -32,7 +32,8 @@ from .common import in_batches, kept_rows, stored
 BUCKETS = 1 << 16  # hashed feature weights
 LEXICON = 3_000  # words per language
 SEGMENT = 48  # words in a training sequence
-_words = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
+LONGEST = 40  # letters of an element of the chain: longer runs, such as those of scripts without spaces, are several elements
+_words = regex.compile(rf"\p{{L}}[\p{{L}}\p{{M}}]{{0,{LONGEST - 1}}}").findall
 
 
 @dataclass
@@ -51,7 +52,7 @@ def words_of(text: str) -> list[str]:
 
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Buckets of the features of a word: itself, prefixes, suffixes, 2- and 3-grams with its ends, lexicon entry."""
-    w = f"^{word[:40]}$"
+    w = f"^{word}$"
     names = [w] + ["p" + w[1 : 1 + k] for k in (1, 2, 3)] + ["s" + w[-1 - k : -1] for k in (1, 2, 3)]
     names += [w[i : i + k] for k in (2, 3) for i in range(len(w) - k + 1)]
     if word in lexicon:
@@ -104,17 +105,22 @@ def is_held_out(doc_id: Column, parts: int = 4, rest: int = 2) -> Column:
 
 
 def training_sample(labelled: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` documents of each ``lang``, by text hash: thinned by the counts first, then ranked."""
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    mark = (F.xxhash64("text") % 1_000_003 + 1_000_003) % 1_000_003
-    thin = labelled.join(F.broadcast(counts) if counts.count() <= 10_000 else counts, "lang").where(mark * F.col("n") < F.lit(2 * sample * 1_000_003).cast("long"))
+    """At most ``sample`` different texts of each ``lang``, by text hash: thinned by the counts first, then ranked.
+
+    Copies are reduced first, so a language of many copies of few texts keeps them all, and no text fills the places of others.
+    """
+    texts = labelled.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies")).drop("copies")
+    counts = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    mark = F.pmod(F.xxhash64("text"), F.lit(1_000_003))
+    # Of languages with up to twice the sample all texts pass, of others about twice the sample.
+    thin = texts.join(counts, "lang").where(mark * F.col("n") < F.lit(2 * sample * 1_000_003).cast("long"))
     ranked = thin.withColumn("_at", F.row_number().over(Window.partitionBy("lang").orderBy(mark, "text")))
     return ranked.where(F.col("_at") <= sample).select("lang", "text")
 
 
 def learn_lexicon(sample: DataFrame, languages: list[str]) -> dict[str, int]:
     """Words that stand nearly always in one language of the sample, the most frequent of each."""
-    words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}[\p{L}\p{M}]*"), F.lit(0))).alias("w"))
+    words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(rf"\p{{L}}[\p{{L}}\p{{M}}]{{0,{LONGEST - 1}}}"), F.lit(0))).alias("w"))
     counts = words.groupBy("w", "lang").agg(F.count(F.lit(1)).alias("n"))
     of = counts.groupBy("w").agg(F.max(F.struct("n", "lang")).alias("top"), F.sum("n").alias("all"))
     own = of.where((F.col("all") >= 3) & (F.col("top.n") >= 0.9 * F.col("all")))

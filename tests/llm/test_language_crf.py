@@ -57,3 +57,16 @@ def test_nulls_repeats_long_and_empty(spark):
     assert got == sorted([(None, "und"), (1, "und"), (2, "und"), (3, "en"), (4, "de"), (4, "de")], key=str)
     assert [r.lang_pred for r in L.label(docs, L.fit(docs.where("doc_id < 0"))).collect()] == ["und"] * 6
     assert L.label(docs.limit(0), crf).count() == 0
+
+
+def test_sample_keeps_languages_of_many_copies(spark):
+    rows = [(lang, f"{lang} text number {i % 10}") for lang in ("aa", "bb", "cc") for i in range(4000)] + [("dd", f"text {i}") for i in range(4000)]
+    drawn = L.training_sample(spark.createDataFrame(rows, "lang string, text string"), 300).collect()
+    by = {lang: [r.text for r in drawn if r.lang == lang] for lang in ("aa", "bb", "cc", "dd")}
+    assert all(sorted(by[x]) == sorted(f"{x} text number {i}" for i in range(10)) for x in ("aa", "bb", "cc"))
+    assert len(by["dd"]) == len(set(by["dd"])) == 300
+
+
+def test_long_runs_are_several_elements():
+    run = "漢字仮名" * 100 + "x" * 100
+    assert "".join(L.words_of(run)) == run and max(map(len, L.words_of(run))) <= L.LONGEST

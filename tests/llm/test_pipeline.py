@@ -49,13 +49,17 @@ def windows(words):
 
 def test_stages_take_nulls_repeats_and_extra_columns(spark):
     text = "the reading of these words is plain english for anyone who looks at it once more"
-    rows = [(None, None, None, None, 1, "x"), (1, "", "en", "a", 0, None), (2, text, "en", "a", 1, "k"), (2, text, "en", "a", 1, "k"), (None, text, None, None, None, None), (3, "password=abcdefgh1 " + text[:30], "en", "b", 5, "n")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _key string")
+    long = " ".join(f"word{i} reading plain" for i in range(30_000))
+    rows = [(None, None, None, None, 1, "x"), (1, "", "en", "a", 0, None), (2, text, "en", "a", 1, "k"), (2, text, "en", "a", 1, "k"), (None, text, None, None, None, None), (3, "password=abcdefgh1 " + text[:30], "en", "b", 5, "n"), (4, long, "en", "c", 7, "l")]
+    own = ["_key", "_id", "_spans", "key", "id", "spans", "chosen_id", "row", "k"]
+    docs = spark.createDataFrame([(*r, *(f"{c} of {r[5]}" for c in own)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, mine string, " + ", ".join(f"{c} string" for c in own))
+    columns = docs.columns
     for name, stage in P.STAGES[:-1]:
         docs = stage(spark, docs, SF)
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "_key"], name
-    got = {(r.doc_id, r.text) for r in docs.collect()}
-    assert got == {(2, text), (3, "[removed] " + text[:30])}
+        assert docs.columns == columns, name
+    got = {tuple(r) for r in docs.collect()}
+    rest = lambda mine: tuple(f"{c} of {mine}" for c in own)
+    assert got == {(2, text, "en", "a", len(text), "k", *rest("k")), (3, "[removed] " + text[:30], "en", "b", 40, "n", *rest("n")), (4, long, "en", "c", len(long), "l", *rest("l"))}
 
 
 def test_stages_take_empty_tables(spark):
