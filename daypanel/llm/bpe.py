@@ -27,6 +27,11 @@ def memory(name: str, start: dict) -> dict:
     return kept
 
 
+def forget() -> None:
+    """Give back what this worker remembers, before a step that needs the space."""
+    _memories.clear()
+
+
 def splitter() -> Callable[[str], list[str]]:
     """All pre-tokens of a text, in order; together they are the text.
 

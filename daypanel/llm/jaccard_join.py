@@ -10,7 +10,8 @@ reach the similarity.  The steps:
    prefixes that are l - 1 longer.  Each class picks the l whose estimated cost of lists and candidates is least.
 4. ``pivot_links``: every posting list compares its members with one of them, after the pair has l shared prefix shingles.
    The links give components; a large group of near copies is one component now, without its pairs.
-5. ``residual_links``: lists that still hold more than one component compare members of different components, in tiles of bounded size.
+5. ``residual_links``: lists that still hold more than one component compare members of different components, in tiles of bounded size
+   that verify their pairs themselves.
 
 Pairs inside one component need no comparison, so the components are exact.
 
@@ -30,14 +31,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import forget
 from .common import slices, stored, unused, utf8
 
 WORDS = 5
 SIMILARITY = 75  # percent
-FLUSH = 1 << 20  # shingles in one packed batch
-SHARD_BYTES = 24 << 20  # text behind one shard
+FLUSH = 1 << 19  # shingles in one packed batch
+SHARD_BYTES = 12 << 20  # text behind one shard
 LEVELS = 4
-TILE = 1024
+TILE = 512
 FREQUENT = np.int64(1) << 40  # stands for the document frequency of frequent shingles
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 
@@ -127,6 +129,7 @@ def shingled(docs: DataFrame, text: str, shards: int) -> DataFrame:
     """Packed rows; kind 0 is one row per document: ``doc_id``, class ``k`` (null without words), set size ``n``, MD5 of the text (a)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # a worker may come from an earlier stage
         turn = count()
         seen: set[int] = set()  # classes of this task: at most the rows of one split
         held: list[tuple[int, int, np.ndarray]] = []
@@ -305,8 +308,9 @@ def components(links: DataFrame) -> DataFrame:
 def residual_links(lists: DataFrame, prefix: DataFrame, roots: DataFrame, tile: int = TILE) -> DataFrame:
     """Links between classes of different components that share a prefix shingle.
 
-    Members of a mixed list meet in tiles of at most about two times ``tile``, with their prefixes only; pairs whose shared prefix
-    shingles leave a link possible are verified.
+    Members of a mixed list meet in tiles of at most about two times ``tile``, first with their prefixes only.  Members of a pair whose shared
+    prefix shingles leave a link possible meet in their tile once more, with whole sets: pairs are counted and verified inside, and
+    what leaves a tile are the links that join its components, fewer than its members.
     """
     rows = lists.where("level = 1").select("list", "k").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
     mixed = rows.groupBy("list").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("size")).where(F.col("a") != F.col("b")).select("list", "size")
@@ -317,32 +321,41 @@ def residual_links(lists: DataFrame, prefix: DataFrame, roots: DataFrame, tile:
     tiles = dealt.select("list", "k", "root", "block", with_block).select("list", "k", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     members = tiles.join(prefix.select("k", "n", "head"), "k")
 
-    def run(group: pa.Table) -> pa.Table:
+    def candidates(group: pa.Table) -> pa.Table:
+        root, n = (group.column(c).to_numpy() for c in ("root", "n"))
+        may = may_link(group.column("list")[0].as_py(), root, n.astype(np.int64), arrays(group, "head"))
+        return group.select(["list", "i", "j", "k", "root"]).filter(pa.array(may.any(0) | may.any(1)))
+
+    met = members.groupBy("list", "i", "j").applyInArrow(candidates, "list long, i int, j int, k long, root long")
+    whole = met.join(prefix.select("k", "n", "whole"), "k")
+
+    def links(group: pa.Table) -> pa.Table:
         k, root, n = (group.column(c).to_numpy() for c in ("k", "root", "n"))
-        xs, ys = cross_pairs(k, root, n.astype(np.int64), [np.asarray(w, np.int64) for w in group.column("head").to_pylist()])
-        return pa.table({"x": pa.array(np.minimum(xs, ys), pa.int64()), "y": pa.array(np.maximum(xs, ys), pa.int64())})
+        both = overlaps(arrays(group, "whole"))
+        x, y = joining(both * 100 >= (n[:, None] + n[None, :] - both) * SIMILARITY, root)
+        return pa.table({"x": pa.array(k[x], pa.int64()), "y": pa.array(k[y], pa.int64())})
 
-    pairs = members.groupBy("list", "i", "j").applyInArrow(run, "x long, y long").distinct()
-    return verified(pairs, prefix)
+    return whole.groupBy("list", "i", "j").applyInArrow(links, "x long, y long").distinct()
 
 
-def cross_pairs(k: np.ndarray, root: np.ndarray, n: np.ndarray, heads: list[np.ndarray], width: int = 2048) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different roots that may link by their sizes and the number of prefix shingles they share.
+def arrays(group: pa.Table, column: str) -> list[np.ndarray]:
+    """A list column as arrays, without Python objects for the elements."""
+    lists = group.column(column).combine_chunks()
+    values, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
-    Of the two prefixes one ends first in the global order; what both sets share up to there is in both prefixes, and the rest is
-    behind that prefix.  So the overlap is at most the shared prefix shingles plus the longer rest.
-    """
-    m = len(k)
-    if m < 2 or (root == root[0]).all():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sizes = np.array([len(s) for s in heads])
-    flat, of = np.concatenate(heads), np.repeat(np.arange(m), sizes)
-    _, token, count = np.unique(flat, return_inverse=True, return_counts=True)
-    often = count > 1
-    renamed = np.cumsum(often) - 1
-    use = often[token]
-    of, token = of[use], renamed[token[use]]
+
+def overlaps(sets: list[np.ndarray], below: int | None = None, width: int = 2048) -> np.ndarray:
+    """Sizes of the pairwise intersections, only of elements below a limit if one is given."""
+    m = len(sets)
     both = np.zeros((m, m), np.float32)
+    flat, of = np.concatenate([*sets, np.zeros(0, np.int64)]), np.repeat(np.arange(m), [len(s) for s in sets])
+    if below is not None:
+        of, flat = of[flat < below], flat[flat < below]
+    _, token, times = np.unique(flat, return_inverse=True, return_counts=True)
+    often = times > 1
+    use = often[token]
+    of, token = of[use], (np.cumsum(often) - 1)[token[use]]
     order = np.argsort(token, kind="stable")
     of, token = of[order], token[order]
     for start in range(0, int(token[-1]) + 1 if len(token) else 0, width):
@@ -350,12 +363,47 @@ def cross_pairs(k: np.ndarray, root: np.ndarray, n: np.ndarray, heads: list[np.n
         x = np.zeros((m, int(token[b - 1]) - start + 1), np.float32)
         x[of[a:b], token[a:b] - start] = 1
         both += x @ x.T
+    return both
+
+
+def may_link(this: int, root: np.ndarray, n: np.ndarray, heads: list[np.ndarray]) -> np.ndarray:
+    """Which pairs of different roots may link by their sizes and the number of prefix shingles they share.
+
+    Of the two prefixes one ends first in the global order; what both sets share up to there is in both prefixes, and the rest is
+    behind that prefix.  So the overlap is at most the shared prefix shingles plus the longer rest.  A pair counts in one list
+    only, that of its smallest common prefix shingle; lists with equal members are named by their smallest shingle, so it exists.
+    """
+    if len(n) < 2 or (root == root[0]).all():
+        return np.zeros((len(n), len(n)), bool)
+    both = overlaps(heads)
     rest = least_overlap(n) - 1
     total = n[:, None] + n[None, :]
     need = -(-total * SIMILARITY // (100 + SIMILARITY))
     may = (both > 0) & (both + np.maximum(rest[:, None], rest[None, :]) >= need) & (np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * SIMILARITY)
-    i, j = np.nonzero(np.triu(may & (root[:, None] != root[None, :]), 1))
-    return k[i], k[j]
+    may &= root[:, None] != root[None, :]
+    if may.any():
+        may &= overlaps(heads, this) == 0
+    return np.triu(may, 1)
+
+
+def joining(linked: np.ndarray, root: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of the linked pairs those that join two components not joined by earlier ones: at most one fewer than members."""
+    top = {r: r for r in root.tolist()}
+
+    def find(r: int) -> int:
+        while top[r] != r:
+            top[r] = top[top[r]]
+            r = top[r]
+        return r
+
+    xs, ys = [], []
+    for i, j in zip(*np.nonzero(np.triu(linked & (root[:, None] != root[None, :]), 1)), strict=True):
+        a, b = find(int(root[i])), find(int(root[j]))
+        if a != b:
+            top[a] = b
+            xs.append(i)
+            ys.append(j)
+    return xs, ys
 
 
 def grouped(docs: DataFrame, text: str = "text") -> DataFrame:

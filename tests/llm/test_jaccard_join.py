@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from daypanel.llm import jaccard_join as J
 from daypanel.llm.queries import QUERIES
 
@@ -69,6 +70,45 @@ def test_tiles_split_large_lists(spark, monkeypatch):
     assert result(J.near_duplicates(docs)) == brute(rows)
 
 
+def test_hot_passage_over_many_components(spark, monkeypatch):
+    """Texts that share a long passage but mostly do not link, in many components; chains of near copies among them."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(240):
+        own = [f"o{i}x{j}" for j in range(rng.randint(3, 16))]
+        text = passage[: rng.randint(30, 40)] + own
+        rows.append((2 * i, " ".join(text)))
+        if rng.random() < 0.3:
+            rows.append((2 * i + 1, " ".join(text[:-1] + ["other"])))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    want = brute(rows)
+    for tile in (512, 16):
+        monkeypatch.setattr(J.residual_links, "__defaults__", (tile,))
+        assert result(J.near_duplicates(docs)) == want
+
+
+def reach(pairs, root):
+    """Components of roots under pairs of members."""
+    groups = [{r} for r in set(root.tolist())]
+    for i, j in pairs:
+        a, b = (next(g for g in groups if root[k] in g) for k in (i, j))
+        if a is not b:
+            groups.remove(b)
+            a |= b
+    return sorted(map(sorted, groups))
+
+
+def test_forest_of_links_joins_what_all_links_join():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        root = rng.integers(0, 8, 12)
+        linked = np.triu(rng.random((12, 12)) < 0.15, 1)
+        x, y = J.joining(linked, root)
+        assert len(x) < 8 and all(linked[i, j] for i, j in zip(x, y, strict=True))
+        assert reach(list(zip(x, y, strict=True)), root) == reach(list(zip(*np.nonzero(linked), strict=True)), root)
+
+
 def test_nulls_repeats_and_empty_table(spark):
     same = "one two three four five six seven"
     rows = [(None, same, "", "", 1), (5, same, "", "", 1), (5, same, "", "", 1), (3, same.upper(), "", "", 1), (None, None, "", "", 1)]
