@@ -202,6 +202,24 @@ CTES["three"] = (
 )
 oracle("processed_daily", f"SELECT * EXCLUDE (rn) FROM ({processed_sql('three')})", DAILY_FLOATS, "w_session_count")
 
+CTES["kg"] = (
+    "SELECT user_id AS entity, CAST(ts AS DATE) AS day, 78 + 0.032::DOUBLE * value AS weight, "
+    "row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY strftime(ts, '%H:%M'), event_id) AS reading, "
+    "row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY strftime(ts, '%H:%M') DESC, event_id DESC) AS from_last "
+    "FROM events WHERE event_type = 'view' AND value IS NOT NULL"
+)
+for label, chosen in (("last", "(SELECT entity, day, weight FROM kg WHERE from_last = 1)"), ("every", "(SELECT entity, day, weight, reading FROM kg)")):
+    CTES[f"{label}_reading"] = (
+        f"SELECT i.entity, i.day, {', '.join('i.' + c for c in NUTRIENTS)}, b.weight, {'b.reading, ' if label == 'every' else ''}"
+        + ", ".join(f"w.{c}" for c in EVENT_COLUMNS if c.startswith("w_"))
+        + f" FROM ev i LEFT JOIN {chosen} b USING (entity, day) LEFT JOIN (SELECT * FROM ev WHERE w_steps IS NOT NULL OR w_avg_stress IS NOT NULL) w USING (entity, day)"
+    )
+oracle("processed_daily_readings", f"SELECT * EXCLUDE (rn) FROM ({processed_sql('last_reading')})", DAILY_FLOATS, "w_session_count")
+oracle(
+    "processed_daily_all_readings", f"SELECT * EXCLUDE (rn) FROM ({processed_sql('every_reading').replace(W, W + ', reading NULLS FIRST')})",
+    DAILY_FLOATS, "w_session_count reading",
+)
+
 METRIC_LIST = "entity, day, bmi, weight_velocity_7d, protein_pct, carbs_pct, fat_pct, deficit, on_track, protein_per_kg, month, weekday, is_weekend"
 METRIC_FLOATS = "bmi weight_velocity_7d protein_pct carbs_pct fat_pct deficit protein_per_kg"
 oracle("prepared_metrics", f"SELECT {METRIC_LIST}, {BAND} AS bmi_band FROM evm", METRIC_FLOATS)

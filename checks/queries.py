@@ -79,6 +79,18 @@ def processed_daily(spark, sf_dir):
     return panel.process_daily(*panels.three_inputs(spark, sf_dir))
 
 
+@query("processed_daily_readings")
+def processed_daily_readings(spark, sf_dir):
+    """Several readings a day, the last one taken."""
+    return panel.process_daily(*panels.readings_inputs(spark, sf_dir))
+
+
+@query("processed_daily_all_readings")
+def processed_daily_all_readings(spark, sf_dir):
+    """Several readings a day, a row for each, in the order in which they were taken."""
+    return panel.process_daily(*panels.readings_inputs(spark, sf_dir), per_day="all")
+
+
 METRIC_COLUMNS = [
     *KEYS, "bmi", "weight_velocity_7d", "protein_pct", "carbs_pct", "fat_pct", "deficit", "on_track",
     "protein_per_kg", "month", "weekday", "is_weekend",

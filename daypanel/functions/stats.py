@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from daypanel.core import DAY, ENTITY, by_day, frame
 
 
-def rolling_mean(value: Column, size: int, min_count: int | None = None, *keys: str) -> Column:
-    """Mean over the last ``size`` rows, null with fewer than ``min_count`` values in them."""
+def rolling_mean(value: Column, size: int, min_count: int | None = None, *keys: str, order: WindowSpec | None = None) -> Column:
+    """Mean over the last ``size`` rows, null with fewer than ``min_count`` values in them; ``order`` replaces the order by day."""
     need = size if min_count is None else min_count
-    spec = frame(size, *keys)
+    spec = frame(size, *keys) if order is None else order.rowsBetween(1 - size, Window.currentRow)
     return F.when(F.count(value).over(spec) >= need, F.avg(value).over(spec))
 
 

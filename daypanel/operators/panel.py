@@ -1,30 +1,49 @@
-"""Daily panel: join intake, biometrics and wearable by day, fill, roll, next-day change."""
+"""Daily panel: join intake, biometrics and wearable by day, fill, roll, next-day change.
+
+Readings of a day have a total order (see :func:`reading_order`), and every window here follows it, so the order of rows
+in the files never matters.  By default one reading a day enters the panel, which bounds all windows by the calendar.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.core import KEYS, WEARABLE_PREFIX, by_day, from_here, whole, wearable_columns
+from daypanel.core import DAY, ENTITY, KEYS, WEARABLE_PREFIX, wearable_columns, whole
 from daypanel.functions.stats import rolling_mean
 
+# Optional columns of biometrics that order the readings of a day, and the position they get here.
+READING_COLUMNS = ("reading_ts", "reading_no")
+READING = "reading"
+PER_DAY = ("last", "largest", "all")
 
-def weight_readings(
-    biometrics: DataFrame, unit: str = "kg", metric: str | None = None, one_per_day: bool = False
-) -> DataFrame:
+
+def reading_order(biometrics: DataFrame) -> Column:
+    """When a reading was taken, then its number in its file, then its amount: what is absent or null comes first.
+
+    Readings that agree in all of these are equal, so their order cannot matter.
+    """
+    return F.struct(*(F.col(c) for c in READING_COLUMNS if c in biometrics.columns), F.col("amount"))
+
+
+def weight_readings(biometrics: DataFrame, unit: str = "kg", metric: str | None = None, per_day: str = "last") -> DataFrame:
     """Readings with the given unit as (entity, day, weight).
 
-    By default every reading in that unit counts and several per day give several rows, as in
-    the daily process this reproduces.  ``metric`` narrows to one metric; ``one_per_day`` keeps
-    the largest reading of the day, by a map-side combined aggregate.
+    ``per_day`` keeps the last reading of a day in :func:`reading_order`, the largest, or all of them, numbered in the column
+    ``reading``; every reading then makes a row of its own, as in the daily process this reproduces.  Last and
+    largest are aggregates combined before the exchange.  ``metric`` narrows to one metric.
     """
+    if per_day not in PER_DAY:
+        raise ValueError(f"per_day must be one of {', '.join(PER_DAY)}")
     kept = biometrics.filter(F.col("unit") == unit)
     if metric is not None:
         kept = kept.filter(F.col("metric") == metric)
-    kept = kept.select(*KEYS, F.col("amount").alias("weight"))
-    if one_per_day:
-        kept = kept.groupBy(*KEYS).agg(F.max("weight").alias("weight"))
-    return kept
+    if per_day == "all":
+        spec = Window.partitionBy(*KEYS).orderBy(reading_order(biometrics))
+        return kept.select(*KEYS, F.col("amount").alias("weight"), F.row_number().over(spec).alias(READING))
+    kept = kept.filter(F.col("amount").isNotNull())
+    chosen = F.max("amount") if per_day == "largest" else F.max_by("amount", reading_order(biometrics))
+    return kept.groupBy(*KEYS).agg(chosen.alias("weight"))
 
 
 def join_daily(
@@ -42,19 +61,18 @@ def finish_daily(daily: DataFrame, trailing_weight: str = "zero", prefix: str =
     """Back-fill weight, fill non-wearable nulls with 0, add rolling intake and next-day change.
 
     Days after the last reading have no later value to take: they become 0, or stay null with
-    ``trailing_weight="null"``.  All windows share one partitioning and one sort.
+    ``trailing_weight="null"``.  All windows share one partitioning and one sort, by day and, where a day has several, by reading.
     """
     if trailing_weight not in ("zero", "null"):
         raise ValueError("trailing_weight must be 'zero' or 'null'")
-    filled: dict[str, Column] = {
-        "weight": F.first("weight", ignorenulls=True).over(from_here()),
-    }
-    daily = daily.withColumns(filled)
+    series = Window.partitionBy(ENTITY).orderBy(DAY, *([READING] if READING in daily.columns else []))
+    onwards = series.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    daily = daily.withColumn("weight", F.first("weight", ignorenulls=True).over(onwards))
     types = dict(daily.dtypes)
     fill = [
         c
         for c in daily.columns
-        if c not in KEYS
+        if c not in (*KEYS, READING)
         and not c.startswith(prefix)
         and types[c] in ("double", "float", "int", "bigint")
         and not (c == "weight" and trailing_weight == "null")
@@ -62,9 +80,9 @@ def finish_daily(daily: DataFrame, trailing_weight: str = "zero", prefix: str =
     daily = daily.fillna(0, subset=fill)
     return daily.withColumns(
         {
-            "energy_avg_7": rolling_mean(F.col("energy"), 7),
-            "energy_avg_30": rolling_mean(F.col("energy"), 30),
-            "weight_change": F.lead("weight").over(by_day()) - F.col("weight"),
+            "energy_avg_7": rolling_mean(F.col("energy"), 7, order=series),
+            "energy_avg_30": rolling_mean(F.col("energy"), 30, order=series),
+            "weight_change": F.lead("weight").over(series) - F.col("weight"),
         }
     )
 
@@ -77,6 +95,16 @@ def process_daily(
     return finish_daily(join_daily(intake, biometrics, wearable, prefix, **readings), trailing_weight, prefix)
 
 
+def last_of_day(daily: DataFrame) -> DataFrame:
+    """Of a table with all readings the row of each day's last one, for operators that take one row a day."""
+    if READING not in daily.columns:
+        return daily
+    rest = [c for c in daily.columns if c not in KEYS]
+    # The reading number decides; a day without a reading has one row.
+    last = F.max_by(F.struct(*rest), F.coalesce(READING, F.lit(0)))
+    return daily.groupBy(*KEYS).agg(last.alias("_last")).select(*KEYS, *(F.col(f"_last.`{c}`").alias(c) for c in rest if c != READING))
+
+
 def has_wearable_data(daily: DataFrame, columns: list[str]) -> DataFrame:
     """Per entity: does any of the columns hold a value?"""
     any_value = F.lit(False)

@@ -83,6 +83,19 @@ def three_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return intake, biometrics, wearable
 
 
+def readings_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The same inputs with every single reading: several weights a day, each with its time and number, in no order."""
+    intake, _, wearable = three_inputs(spark, sf_dir)
+    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "error"))
+    weight = F.col("event_type") == "view"
+    biometrics = events.select(
+        F.col("user_id").alias(ENTITY), F.col("ts").cast("date").alias(DAY), F.when(weight, "Weight").otherwise("Body Fat").alias("metric"),
+        F.when(weight, "kg").otherwise("%").alias("unit"), F.when(weight, 78 + 0.032 * F.col("value")).otherwise(F.col("value")).alias("amount"),
+        F.date_format("ts", "HH:mm").alias("reading_ts"), F.col("event_id").cast("bigint").alias("reading_no"),
+    )
+    return intake, biometrics, wearable
+
+
 def processed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event panel, filled and rolled like the processed daily table."""
     return finish_daily(event_days(spark, sf_dir))

@@ -16,7 +16,7 @@ INTAKE_HEADERS = {
     "Date": DAY, "Energy (kcal)": "energy", "Protein (g)": "protein", "Carbs (g)": "carbs", "Fat (g)": "fat",
     "Fiber (g)": "fiber", "Sodium (mg)": "sodium", "Water (g)": "water",
 }
-BIOMETRIC_HEADERS = {"Day": DAY, "Metric": "metric", "Unit": "unit", "Amount": "amount"}
+BIOMETRIC_HEADERS = {"Day": DAY, "Time": "reading_ts", "Metric": "metric", "Unit": "unit", "Amount": "amount"}
 FOOD_HEADERS = {"Food Name": "food_name", "Category": "category", "Label": "label"}
 DROPPED_INTAKE = ["Completed"]
 
@@ -75,10 +75,12 @@ def read_intake(spark: SparkSession, path: str, fmt: str = "csv", entity: str |
 
 
 def read_biometrics(spark: SparkSession, path: str, fmt: str = "csv", entity: str | None = None) -> DataFrame:
-    """Long biometrics (entity, day, metric, unit, amount)."""
+    """Long biometrics (entity, day, metric, unit, amount), with the time and the number of a reading where the table has them."""
     df = to_day(with_entity(rename(read_any(spark, path, fmt), BIOMETRIC_HEADERS), entity))
     df = ensure_columns(df, {"metric": "string", "unit": "string", "amount": "string"})
-    return df.select(ENTITY, DAY, "metric", "unit", F.col("amount").cast("string").try_cast("double").alias("amount"))
+    order = {"reading_ts": "string", "reading_no": "bigint"}
+    extra = [F.col(c).cast("string").try_cast(t).alias(c) for c, t in order.items() if c in df.columns]
+    return df.select(ENTITY, DAY, "metric", "unit", F.col("amount").cast("string").try_cast("double").alias("amount"), *extra)
 
 
 def read_wearable(

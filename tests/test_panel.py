@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,15 +51,46 @@ def test_optional_wearable_source(spark, files):
         tables.read_wearable(spark, files("nodate"), entity="a")
 
 
-def test_several_readings_multiply_rows_unless_reduced(spark):
+def test_readings_of_a_day(spark):
     intake = series(spark, {"energy": [2000, 2100]})
     bio = spark.createDataFrame(
         [("a", dt.date(2024, 1, 1), "Weight", "kg", 80.0), ("a", dt.date(2024, 1, 1), "Lean Mass", "kg", 60.0)],
         "entity string, day date, metric string, unit string, amount double",
     )
-    assert panel.join_daily(intake, bio).count() == 3
-    assert panel.join_daily(intake, bio, metric="Weight").count() == 2
-    assert ordered(panel.join_daily(intake, bio, one_per_day=True), "weight") == [80.0, None]
+    assert ordered(panel.join_daily(intake, bio), "weight") == [80.0, None]
+    assert panel.join_daily(intake, bio, per_day="all").count() == 3
+    assert panel.join_daily(intake, bio, metric="Weight", per_day="all").count() == 2
+    assert ordered(panel.join_daily(intake, bio, metric="Lean Mass"), "weight") == [60.0, None]
+    with pytest.raises(ValueError):
+        panel.join_daily(intake, bio, per_day="first")
+
+
+READINGS = [("07:10", 80.0), ("21:30", 81.5), (None, 79.0), ("21:30", 81.0)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_order_of_rows_does_not_matter(spark, seed):
+    """The same readings in any order of rows give the same panel; the last one of the day counts, or all in their order."""
+    rows = [("a", dt.date(2024, 1, d), "Weight", "kg", kg + d, at) for d in (1, 2) for at, kg in READINGS]
+    random.Random(seed).shuffle(rows)
+    bio = spark.createDataFrame(rows, "entity string, day date, metric string, unit string, amount double, reading_ts string").repartition(3)
+    intake = series(spark, {"energy": [2000, 2100, 1900]})
+    assert ordered(panel.process_daily(intake, bio), "weight", "weight_change") == [(82.5, 1.0), (83.5, -83.5), (0.0, None)]
+    assert ordered(panel.process_daily(intake, bio, per_day="largest"), "weight") == [82.5, 83.5, 0.0]
+    every = panel.process_daily(intake, bio, per_day="all")
+    got = [(r.reading, r.weight, r.weight_change, r.energy_avg_7) for r in every.orderBy("day", "reading").collect()]
+    assert [g[:3] for g in got] == [
+        (1, 80.0, 1.0), (2, 81.0, 1.0), (3, 82.0, 0.5), (4, 82.5, -1.5), (1, 81.0, 1.0), (2, 82.0, 1.0), (3, 83.0, 0.5), (4, 83.5, -83.5), (None, 0.0, None),
+    ]
+    assert [g[3] for g in got][:6] == [None] * 6 and got[6][3] == pytest.approx((4 * 2000 + 3 * 2100) / 7)
+    assert ordered(panel.last_of_day(every), "weight", "weight_change") == [(82.5, -1.5), (83.5, -83.5), (0.0, None)]
+
+
+def test_read_biometrics_keeps_the_time(spark, tmp_path):
+    (tmp_path / "bio.csv").write_text("Day,Time,Metric,Unit,Amount\n2024-01-01,21:30,Weight,kg,81\n2024-01-01,07:10,Weight,kg,80\n")
+    bio = tables.read_biometrics(spark, str(tmp_path / "bio.csv"), entity="a")
+    assert bio.columns == ["entity", "day", "metric", "unit", "amount", "reading_ts"]
+    assert ordered(panel.join_daily(series(spark, {"energy": [2000]}), bio), "weight") == [81.0]
 
 
 def test_rolling_means_need_full_windows(spark):
