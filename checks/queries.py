@@ -497,7 +497,7 @@ def store_roundtrip(spark, sf_dir):
     root = f"{shared_dir(spark)}/daypanel-store/{_fresh()}"
     table = f"{root}/sessions"
     for batch in session_batches(spark, sf_dir):
-        jobs.upsert_table(batch, table, sync.merge_sessions, sync.session_key())
+        jobs.upsert_table(batch, table, sync.merge_sessions, sync.durable_key())
     return sinks.read_version(spark, table).groupBy(*KEYS, "session_group").agg(
         F.count(F.lit(1)).alias("sessions"), F.round(F.sum("kcal"), 3).alias("kcal")
     )

@@ -131,6 +131,11 @@ def session_key() -> Column:
     return F.coalesce(F.concat(F.lit("id::"), F.col("session_id").cast("string")), composite)
 
 
+def durable_key() -> Column:
+    """The key of sessions that may move to another day; null where the key includes the day."""
+    return F.when(F.col("session_id").isNotNull(), session_key())
+
+
 def merge_sessions(old: DataFrame | None, new: DataFrame | None) -> DataFrame:
     """Upsert of sessions by their key; of several copies the newest source, then latest start."""
     both = stack(old, new)

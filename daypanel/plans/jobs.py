@@ -33,24 +33,34 @@ def months_of(df: DataFrame) -> list[str]:
 
 
 def upsert_table(
-    new: DataFrame, table: str, merge, key=None, version: str | None = None, mark: dict[str, str] | None = None
+    new: DataFrame, table: str, merge, key=None, version: str | None = None, mark: dict[str, str] | None = None, attempts: int = 3
 ) -> None:
     """Merge new rows into a stored table, rewriting only the months they touch.
 
-    Rows are matched by keys that include the day; where a key does not (a session id), ``key``
-    gives it as a column, and months holding an old row with such a key are rewritten too.
+    Rows are matched by keys that include the day; where a key does not (a session id), ``key`` gives it as a column, null for rows
+    whose key includes the day.  The store keeps such keys by month beside its rows: they are probed, and a month that holds an old row with a
+    key of the new rows is rewritten too.  The stored rows of other months are never read.  The new rows are computed once.  Where another
+    writer publishes meanwhile, the merge starts again from what that one published.
     """
     spark = new.sparkSession
-    months = set(months_of(new))
-    if key is not None and (old := sinks.read_version(spark, table)) is not None:
-        ids = new.select(ENTITY, key.alias("_key")).distinct()
-        moved = old.withColumn("_key", key).join(ids, [ENTITY, "_key"], "left_semi")
-        months |= set(months_of(moved))
-    touched = sorted(months)
+    new = materialise(new, "new")
+    touched = set(months_of(new))
     if not touched:
         return
-    merged = merge(sinks.read_version(spark, table, touched), new)
-    sinks.replace_months(merged, table, touched, version, mark)
+    for attempt in range(attempts):
+        base, months = sinks.pointer(spark, table), set(touched)
+        known = sinks.read_keys(spark, table, base)
+        if key is not None and known is not None:
+            ids = new.select(ENTITY, key.alias("key")).where(F.col("key").isNotNull()).distinct()
+            months |= {r[0] for r in known.join(ids, [ENTITY, "key"], "left_semi").select("month").distinct().collect()}
+        merged = merge(sinks.read_parts(spark, table, base, sorted(months)), new)
+        try:
+            # Each attempt writes a version of its own: the directory of a lost race may be listed by nobody.
+            sinks.replace_months(merged, table, sorted(months), version and version + f"-{attempt}" * (attempt > 0), mark, base, key)
+            return
+        except sinks.PointerMoved:
+            if attempt == attempts - 1:
+                raise
 
 
 def merge_daily_rows(old: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -70,7 +80,7 @@ def upsert_store(
 ) -> None:
     paths = sinks.store_paths(root)
     upsert_table(daily, paths["daily"], merge_daily_rows, version=version)
-    upsert_table(sessions, paths["sessions"], sync.merge_sessions, sync.session_key(), version)
+    upsert_table(sessions, paths["sessions"], sync.merge_sessions, sync.durable_key(), version)
     upsert_table(samples, paths["samples"], sync.merge_samples, version=version)
 
 
@@ -104,7 +114,7 @@ def replace_store(root: str, daily: DataFrame, sessions: DataFrame, samples: Dat
     paths = sinks.store_paths(root)
     rollups = ["w_weekly_steps", "w_weekly_avg_stress", "w_weekly_intensity_min"]
     sinks.replace_table(daily.drop(*rollups), paths["daily"])
-    sinks.replace_table(sessions, paths["sessions"])
+    sinks.replace_table(sessions, paths["sessions"], key=sync.durable_key())
     sinks.replace_table(samples, paths["samples"])
 
 

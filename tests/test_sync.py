@@ -132,11 +132,85 @@ def test_a_session_that_moves_to_another_month_is_not_doubled(spark, tmp_path):
     table = str(tmp_path / "sessions")
     make = lambda day, kcal: spark.createDataFrame([("a", day, 7, "Run", "running", "09:00", 20.0, kcal)], SESSION)
     for day, kcal in ((dt.date(2024, 1, 31), 1.0), (dt.date(2024, 2, 1), 2.0)):
-        jobs.upsert_table(make(day, kcal), table, sync.merge_sessions, sync.session_key())
+        jobs.upsert_table(make(day, kcal), table, sync.merge_sessions, sync.durable_key())
     got = sinks.read_version(spark, table).collect()
     assert [(r["day"].month, r["kcal"]) for r in got] == [(2, 2.0)]
 
 
+def test_a_second_writer_is_refused(spark, tmp_path):
+    """Both merge from the same pointer: the first publishes, the second is refused and loses nothing by merging again."""
+    table = str(tmp_path / "daily")
+    sinks.replace_table(series(spark, {"w_steps": [1.0, 2.0]}), table)
+    base = sinks.pointer(spark, table)
+    first, second = series(spark, {"w_steps": [10.0]}), series(spark, {"w_steps": [20.0]}, start="2024-01-02")
+    write = lambda new: sinks.replace_months(jobs.merge_daily_rows(sinks.read_parts(spark, table, base), new), table, ["2024-01"], base=base)
+    write(first)
+    with pytest.raises(sinks.PointerMoved):
+        write(second)
+    assert ordered(sinks.read_version(spark, table), "w_steps") == [10.0, 2.0]
+    jobs.upsert_table(second, table, jobs.merge_daily_rows)
+    assert ordered(sinks.read_version(spark, table), "w_steps") == [10.0, 20.0]
+
+
+def test_a_merge_overtaken_starts_again(spark, tmp_path):
+    table = str(tmp_path / "daily")
+    sinks.replace_table(series(spark, {"w_steps": [1.0, 2.0]}), table)
+    overtaken = []
+
+    def merge(old, new):
+        if not overtaken:
+            overtaken.append(True)
+            jobs.upsert_table(series(spark, {"w_steps": [20.0]}, start="2024-01-02"), table, jobs.merge_daily_rows)
+        return jobs.merge_daily_rows(old, new)
+
+    jobs.upsert_table(series(spark, {"w_steps": [10.0]}), table, merge)
+    assert ordered(sinks.read_version(spark, table), "w_steps") == [10.0, 20.0]
+
+
+def test_columns_and_types_over_versions(spark, tmp_path):
+    table = str(tmp_path / "daily")
+    sinks.replace_table(series(spark, {"w_steps": [1.0]}), table)
+    later = series(spark, {"w_hrv": [50.0]}, start="2024-02-01").withColumn("w_steps", F.lit(7))
+    jobs.upsert_table(later, table, jobs.merge_daily_rows)
+    got = sinks.read_version(spark, table)
+    assert dict(got.dtypes)["w_steps"] == "double" and ordered(got, "w_steps", "w_hrv") == [(1.0, None), (7.0, 50.0)]
+
+
+def test_expiry_keeps_what_pointers_name(spark, tmp_path):
+    table = str(tmp_path / "daily")
+    for month, steps in (("2024-01-01", 1.0), ("2024-02-01", 2.0), ("2024-02-01", 3.0), ("2024-02-01", 4.0)):
+        jobs.upsert_table(series(spark, {"w_steps": [steps]}, start=month), table, jobs.merge_daily_rows)
+    series(spark, {"w_steps": [9.0]}).write.parquet(f"{table}/v=20000101T000000-unpublished")
+    assert sinks.expire(spark, table) == []  # all of it is younger than a day
+    gone = sinks.expire(spark, table, keep=1, older_than=dt.timedelta(0))
+    assert len([g for g in gone if g.startswith("v=")]) == 3 and "v=20000101T000000-unpublished" in gone
+    assert ordered(sinks.read_version(spark, table), "w_steps") == [1.0, 4.0]
+    jobs.upsert_table(series(spark, {"w_steps": [5.0]}, start="2024-02-02"), table, jobs.merge_daily_rows)
+    assert ordered(sinks.read_version(spark, table), "w_steps") == [1.0, 4.0, 5.0]
+
+
+def test_a_sync_reads_only_touched_months(spark, tmp_path):
+    """Two days of sessions merged into a year: keys are probed, rows of other months never read."""
+    table = str(tmp_path / "sessions")
+    make = lambda rows: spark.createDataFrame(rows, SESSION)
+    year = [("a", dt.date(2023, m, d), 100 * m + d if d % 2 else None, "Run", "running", "09:00", 20.0, 1.0) for m in range(1, 13) for d in (1, 2, 3)]
+    jobs.upsert_table(make(year), table, sync.merge_sessions, sync.durable_key())
+    assert sinks.read_keys(spark, table, sinks.pointer(spark, table)).count() == 24
+    read = []
+
+    def merge(old, new):
+        read.extend(sorted({p.split("month=")[1][:7] for p in old.inputFiles()}))
+        return sync.merge_sessions(old, new)
+
+    # One new session, one corrected in place, one that moved from March to December.
+    jobs.upsert_table(make([("a", dt.date(2023, 12, 30), 9, "Run", "running", "09:00", 20.0, 5.0), ("a", dt.date(2023, 12, 1), 1201, "Run", "running", "09:00", 20.0, 6.0), ("a", dt.date(2023, 12, 31), 303, "Run", "running", "09:00", 20.0, 7.0)]), table, merge, sync.durable_key())
+    assert read == ["2023-03", "2023-12"]
+    got = sinks.read_version(spark, table)
+    assert got.count() == 37 and [r.day for r in got.where("session_id = 303").collect()] == [dt.date(2023, 12, 31)]
+    before = sinks.pointer(spark, table)
+    assert set(before.parts) == {f"2023-{m:02d}" for m in range(1, 13)} and before.generation == 2
+
+
 def test_unfinished_write_leaves_the_old_version(spark, tmp_path):
     table = str(tmp_path / "daily")
     sinks.replace_table(series(spark, {"w_steps": [1.0]}), table)
