@@ -959,3 +959,6 @@ oracle(
     "FROM documents LEFT JOIN labels USING (doc_id)",
     ints="label",
 )
+
+# Counterparts of the queries over files register themselves.
+from checks import file_oracle  # noqa: E402,F401

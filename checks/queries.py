@@ -689,3 +689,7 @@ def text_classify(spark, sf_dir):
     model = text.train_classifier(rows)
     scored = text.label_table(model, rows.select("doc_id", "combined"))
     return scored.select("doc_id", "score", "generated_label")
+
+
+# Queries over files register themselves.
+from checks import file_queries  # noqa: E402,F401

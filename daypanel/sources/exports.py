@@ -31,15 +31,31 @@ STRESS_TYPE = "array<struct<type:string,averageStressLevel:string>>"
 BATTERY_TYPE = "array<struct<statsValue:string>>"
 
 
+def export_files(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
+    """(entity, file, value): whole files of one kind, in ``root/<entity>/<folder>/<file>``; none if there is none.
+
+    An export landed by a Spark job has folders ``entity=…/folder=…/file=…`` instead, with one part file in each.
+    """
+    folder, name = PATTERNS[kind].split("/")
+    plain, landed = f"{root.rstrip('/')}/*/{folder}/{name}", f"{root.rstrip('/')}/entity=*/folder={folder}/file={name}/part-*"
+    step = lambda i: F.element_at(F.split(F.col("_metadata.file_path"), "/"), i)
+    places = [(plain, step(-3), F.col("_metadata.file_path")), (landed, F.substring_index(step(-4), "=", -1), step(-2))]
+    found = None
+    for pattern, entity, file in places:
+        if path_exists(spark, pattern):
+            # The landed folders' names would become columns; the path says the same.
+            files = spark.read.schema("value string").option("wholetext", True).format("text").load(pattern)
+            files = files.select(entity.alias(ENTITY), file.alias("file"), "value")
+            found = files if found is None else found.unionByName(files)
+    return found
+
+
 def export_records(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """(entity, file, pos, rec): every object of the record arrays of one kind."""
-    pattern = f"{root.rstrip('/')}/*/{PATTERNS[kind]}"
-    if not path_exists(spark, pattern):
+    files = export_files(spark, root, kind)
+    if files is None:
         return empty(spark, {"file": "string", "pos": "int", "rec": "variant"}, {ENTITY: "string"})
-    files = spark.read.option("wholetext", True).text(pattern).select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3).alias(ENTITY),
-        F.col("_metadata.file_path").alias("file"), pl.parsed(F.col("value")).alias("v"),
-    )
+    files = files.select(ENTITY, "file", pl.parsed(F.col("value")).alias("v"))
     as_list = F.try_variant_get("v", "$", "array<variant>")
     items = F.coalesce(as_list, F.array("v"))
     return files.select(ENTITY, "file", F.posexplode(items).alias("pos", "rec")).filter(

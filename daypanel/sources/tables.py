@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from daypanel.core import (
     DAY, ENTITY, SAMPLE_TYPES, SESSION_TYPES, WEARABLE_PREFIX, WEARABLE_TYPES, empty, ensure_columns,
@@ -19,6 +20,8 @@ INTAKE_HEADERS = {
 BIOMETRIC_HEADERS = {"Day": DAY, "Time": "reading_ts", "Metric": "metric", "Unit": "unit", "Amount": "amount"}
 FOOD_HEADERS = {"Food Name": "food_name", "Category": "category", "Label": "label"}
 DROPPED_INTAKE = ["Completed"]
+# Column that holds a record whose number of fields differs from the header's.
+BAD_LINE = "bad_line"
 
 
 class MissingTable(FileNotFoundError):
@@ -41,6 +44,26 @@ def read_any(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return reader.load(path)
 
 
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header as text columns, and in ``bad_line`` the whole line of a record with more or fewer fields than the header."""
+    names = spark.read.option("header", True).csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in [*names, BAD_LINE]])
+    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+    # All columns are parsed, so that the number of fields is known whichever columns are selected.
+    return reader.option("columnPruning", False).csv(path)
+
+
+def read_good(spark: SparkSession, path: str, fmt: str, bad_records: str | None) -> DataFrame:
+    """The table, or of a CSV its whole records, with the others written to ``bad_records`` as (file, first cell, line)."""
+    if bad_records is None or fmt != "csv":
+        return read_any(spark, path, fmt)
+    rows = read_csv(spark, path)
+    # The reader parses no line for the line alone, so the first cell goes along.
+    bad = rows.filter(F.col(BAD_LINE).isNotNull()).select(F.col("_metadata.file_name").alias("file"), F.col(f"`{rows.columns[0]}`").alias("first"), F.col(BAD_LINE).alias("line"))
+    bad.write.mode("overwrite").parquet(bad_records)
+    return rows.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+
+
 def with_entity(df: DataFrame, entity: str | None) -> DataFrame:
     """Add a constant entity to a single person's file; a file with the column keeps its own."""
     if ENTITY in df.columns:
@@ -68,15 +91,19 @@ def doubles(df: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def read_intake(spark: SparkSession, path: str, fmt: str = "csv", entity: str | None = None) -> DataFrame:
+def read_intake(
+    spark: SparkSession, path: str, fmt: str = "csv", entity: str | None = None, bad_records: str | None = None
+) -> DataFrame:
     """Daily intake; unknown nutrient columns are kept as doubles, the completion flag is dropped."""
-    df = rename(read_any(spark, path, fmt).drop(*DROPPED_INTAKE), INTAKE_HEADERS)
+    df = rename(read_good(spark, path, fmt, bad_records).drop(*DROPPED_INTAKE), INTAKE_HEADERS)
     return doubles(to_day(with_entity(df, entity)), [ENTITY, DAY])
 
 
-def read_biometrics(spark: SparkSession, path: str, fmt: str = "csv", entity: str | None = None) -> DataFrame:
+def read_biometrics(
+    spark: SparkSession, path: str, fmt: str = "csv", entity: str | None = None, bad_records: str | None = None
+) -> DataFrame:
     """Long biometrics (entity, day, metric, unit, amount), with the time and the number of a reading where the table has them."""
-    df = to_day(with_entity(rename(read_any(spark, path, fmt), BIOMETRIC_HEADERS), entity))
+    df = to_day(with_entity(rename(read_good(spark, path, fmt, bad_records), BIOMETRIC_HEADERS), entity))
     df = ensure_columns(df, {"metric": "string", "unit": "string", "amount": "string"})
     order = {"reading_ts": "string", "reading_no": "bigint"}
     extra = [F.col(c).cast("string").try_cast(t).alias(c) for c, t in order.items() if c in df.columns]
