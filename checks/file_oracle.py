@@ -101,7 +101,7 @@ oracle(
 )
 oracle(
     "export_timestamps",
-    "SELECT CAST(hh AS VARCHAR) AS entity, strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS "at", count(*) AS n FROM xses GROUP BY ALL "
+    "SELECT CAST(hh AS VARCHAR) AS entity, strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS \"at\", count(*) AS n FROM xses GROUP BY ALL "
     "UNION ALL SELECT CAST(hh AS VARCHAR), CAST(day AS VARCHAR), CAST(1 AS BIGINT) FROM xfit",
 )
 oracle(
