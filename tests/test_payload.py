@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +116,29 @@ def test_detail_overrides_by_key_even_with_null(spark):
     assert (days["w_session_kcal"], days["w_session_min"], days["w_session_count"]) == (130.0, 30.0, 1)
 
 
+def test_pages_of_a_day_are_merged(spark):
+    """Newest landing of each page; a session on two pages counts once, as the newest page gives it."""
+    one = lambda i, kcal: {"activityId": i, "activityName": f"Run {i}", "calories": kcal, "durationInMinutes": 10}
+    at = lambda h: dt.datetime(2024, 1, 2, h)
+    pages = [(0, at(1), [one(1, 5), one(2, 6)]), (0, at(3), [one(1, 50), one(2, 60)]), (1, at(2), [one(2, 61), one(3, 70), {"activityName": "no id"}, {"activityName": "no id"}])]
+    rows = [("a", dt.date(2024, 1, 1), "activity", p, t, json.dumps(items)) for p, t, items in pages]
+    paged = spark.createDataFrame(rows, "entity string, day date, endpoint string, page int, landed_at timestamp, payload string")
+    got = sorted((r.session_id or 0, r.kcal or 0) for r in payload.session_rows(paged).collect())
+    assert got == [(0, 0), (0, 0), (1, 50.0), (2, 60.0), (3, 70.0)]
+    day = payload.normalise(paged)[0].first()
+    assert (day.w_session_count, day.w_session_kcal, day.w_session_min) == (5, 180.0, 30.0)
+    assert (payload.daily_rows(paged).first().w_session_kcal) == 180.0
+
+
+def test_no_text_is_exchanged_for_sessions(spark):
+    rows = [("a", dt.date(2024, 1, 1), "activity", 0, "[]")]
+    paged = spark.createDataFrame(rows, "entity string, day date, endpoint string, page int, payload string")
+    for df in (payload.session_rows(paged), payload.daily_rows(paged), payload.session_rows(paged.drop("page"))):
+        plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        exchanged = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+        assert exchanged and not any(re.match(r"payload#", c.strip()) for columns in exchanged for c in columns.split(","))
+
+
 def write(root, name, value):
     path = root / "ann" / name
     path.parent.mkdir(parents=True, exist_ok=True)
