@@ -15,6 +15,8 @@ from daypanel.plans.panels import SESSION_OF_EVENT, SPLIT_DAY
 
 CTES: dict[str, str] = {}
 ORACLE: dict[str, str] = {}
+# Bodies as registered, for counterparts over another panel.
+BODIES: dict[str, tuple] = {}
 
 W = "PARTITION BY entity ORDER BY day"
 BACK = "row_number() OVER (PARTITION BY entity ORDER BY day DESC)"
@@ -39,6 +41,7 @@ def needed(sql: str, seen: dict[str, None]) -> None:
 
 def oracle(name: str, body: str, floats: str = "", ints: str = "", digits: int = 6) -> None:
     """Register a query; ``floats`` are rounded and ``ints`` widened as the Spark side does."""
+    BODIES[name] = (body, floats, ints, digits)
     seen: dict[str, None] = {}
     needed(body, seen)
     ctes = ", ".join(f"{n} AS MATERIALIZED ({CTES[n]})" for n in seen)
@@ -375,9 +378,9 @@ oracle(
     digits=5,
 )
 CTES["lagall"] = corr_sql("rin", LAG_METRICS, "weight_change", 7, 11)
-CTES["lagtrend"] = corr_sql("rin", LAG_METRICS, "trend_change_7d", 7, 5)
-CTES["rin20"] = "SELECT * FROM rin WHERE back <= 20"
-CTES["lagrec"] = corr_sql("rin20", LAG_METRICS, "weight_change", 7, 5)
+CTES["lagtrend"] = corr_sql("rin", LAG_METRICS, "trend_change_7d", 7, 11)
+CTES["rin30"] = "SELECT * FROM rin WHERE back <= 30"
+CTES["lagrec"] = corr_sql("rin30", LAG_METRICS, "weight_change", 7, 5)
 
 
 def best_sql(src: str) -> str:
@@ -394,8 +397,8 @@ oracle(
     "SELECT entity, metric, " + ", ".join(f"max(r) FILTER (WHERE lag = {k}) AS lag_{k}" for k in range(8)) + " FROM lagtrend GROUP BY entity, metric",
     " ".join(f"lag_{k}" for k in range(8)), digits=5,
 )
-CTES["lag8a"] = corr_sql("rin", LAG_METRICS, "weight_change", 7, 8)
-CTES["lag8b"] = corr_sql("rin", LAG_METRICS, "trend_change_7d", 7, 8)
+CTES["lag8a"] = corr_sql("rin", LAG_METRICS, "weight_change", 7, 11)
+CTES["lag8b"] = corr_sql("rin", LAG_METRICS, "trend_change_7d", 7, 11)
 oracle("lag_two_targets", "SELECT *, 'change' AS target FROM lag8a UNION ALL SELECT *, 'trend' AS target FROM lag8b", "r")
 oracle(
     "lag_summary",
@@ -492,7 +495,7 @@ oracle(
 )
 oracle(
     "bias_signal",
-    "SELECT entity, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS n, CASE WHEN count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) >= 5 "
+    "SELECT entity, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS n, CASE WHEN count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) >= 11 "
     "THEN covar_pop(y, x) / nullif((stddev_pop(x) FILTER (WHERE y IS NOT NULL)) * (stddev_pop(y) FILTER (WHERE x IS NOT NULL)), 0) END AS r "
     "FROM (SELECT entity, activity_proxy AS x, energy - tdee_adaptive AS y FROM rin WHERE back <= 30) GROUP BY entity",
     "r",
@@ -531,7 +534,7 @@ def weekly_table_sql(src: str, n: int, wearable: bool) -> str:
 
 
 WT = "avg_intake avg_tdee weight_start weight_end adherence_pct deficit weight_delta"
-oracle("weekly_table", weekly_table_sql("eve", 4, True), WT + " steps sleep_hours stress intensity_min sessions", digits=5)
+oracle("weekly_table", weekly_table_sql("eve", 8, True), WT + " steps sleep_hours stress intensity_min sessions", digits=5)
 oracle("weekly_table_orders", weekly_table_sql("ode", 8, False), WT, digits=5)
 WD = {
     "avg_weight": "weight", "avg_intake": "energy", "avg_protein": "protein", "avg_carbs": "carbs", "avg_sodium": "sodium", "avg_steps": "w_steps",
@@ -547,7 +550,7 @@ oracle(
         + f", {FIRST.format('weight')} AS week_start_weight, {LAST.format('weight')} AS week_end_weight, coalesce(sum(w_active_kcal), 0) AS total_active_kcal, "
         f"avg(CAST(on_track AS INT)) AS avg_adherence, ({LAST.format('weight')}) - ({FIRST.format('weight')}) AS weight_delta, "
         f"({LAST.format('weight_smoothed')}) - ({FIRST.format('weight_smoothed')}) AS trend_slope, "
-        "CASE WHEN avg(CAST(on_track AS INT)) >= 0.8 THEN 'on track' ELSE 'watch' END AS adherence_flag FROM rin GROUP BY entity, week", 3,
+        "CASE WHEN avg(CAST(on_track AS INT)) >= 0.8 THEN 'on track' ELSE 'watch' END AS adherence_flag FROM rin GROUP BY entity, week", 8,
     ),
     " ".join(WD) + " week_start_weight week_end_weight total_active_kcal avg_adherence weight_delta trend_slope", digits=5,
 )
@@ -567,7 +570,7 @@ oracle(
     "weekly_activity",
     weeks_kept(
         f"SELECT entity, {WEEK} AS week, coalesce(sum(w_steps), 0) AS steps, coalesce(sum(w_moderate_min), 0) + coalesce(sum(w_vigorous_min), 0) AS intensity_min, "
-        f"CAST(sum(w_session_count) AS DOUBLE) AS sessions FROM (SELECT * FROM ev QUALIFY {BACK} <= 15) GROUP BY 1, 2", 3,
+        f"CAST(sum(w_session_count) AS DOUBLE) AS sessions FROM (SELECT * FROM ev QUALIFY {BACK} <= 56) GROUP BY 1, 2", 8,
     ),
     "steps intensity_min sessions",
 )
@@ -628,7 +631,7 @@ oracle(
     "on_track_pct under_pct over_pct",
 )
 CTES["ins0"] = (
-    f"SELECT entity, energy, on_track, w_steps, w_body_battery_max, w_sleep_seconds / 3600 AS sl, w_avg_stress AS st FROM evm QUALIFY {BACK} <= 20"
+    f"SELECT entity, energy, on_track, w_steps, w_body_battery_max, w_sleep_seconds / 3600 AS sl, w_avg_stress AS st FROM evm QUALIFY {BACK} <= 60"
 )
 CTES["ins1"] = (
     "SELECT *, quantile_cont(sl, 0.5) OVER (PARTITION BY entity) AS sc, quantile_cont(st, 0.5) OVER (PARTITION BY entity) AS tc FROM ins0"
@@ -712,7 +715,7 @@ oracle(
     "session_week_pivot",
     weeks_kept(
         f"SELECT entity, {WEEK} AS week, " + ", ".join(f"coalesce(sum(kcal) FILTER (WHERE session_group = '{g}'), 0) AS kcal_{n}" for n, g in PIVOT.items())
-        + " FROM ss GROUP BY 1, 2", 3,
+        + " FROM ss GROUP BY 1, 2", 8,
     ),
     " ".join(f"kcal_{n}" for n in PIVOT),
 )
@@ -964,5 +967,5 @@ oracle(
 )
 oracle("text_classify", "SELECT doc_id, true AS in_range, true AS label_follows, true AS accurate, true AS separates FROM documents")
 
-# Counterparts of the queries over files register themselves.
-from checks import file_oracle  # noqa: E402,F401
+# Counterparts of the queries over files and over the long panel register themselves.
+from checks import file_oracle, long_oracle  # noqa: E402,F401

@@ -224,7 +224,7 @@ def lag_corr(spark, sf_dir, target="weight_change", recent=False, need=11):
 
 @query("lag_matrix", 5)
 def lag_matrix(spark, sf_dir):
-    return correlate.lag_matrix(lag_corr(spark, sf_dir, "trend_change_7d", need=5))
+    return correlate.lag_matrix(lag_corr(spark, sf_dir, "trend_change_7d"))
 
 
 @query("lag_best")
@@ -235,14 +235,14 @@ def lag_best(spark, sf_dir):
 @query("lag_two_targets")
 def lag_two_targets(spark, sf_dir):
     targets = {"change": "weight_change", "trend": "trend_change_7d"}
-    return correlate.lag_correlations_with(wearable_report(spark, sf_dir), correlate.LAG_METRICS, targets, 7, 8)
+    return correlate.lag_correlations_with(wearable_report(spark, sf_dir), correlate.LAG_METRICS, targets, 7, 11)
 
 
 @query("lag_summary")
 def lag_summary(spark, sf_dir):
     rows = wearable_report(spark, sf_dir)
     all_time = correlate.lag_correlations(rows, correlate.LAG_METRICS, "weight_change", 7, 11)
-    recent = correlate.lag_correlations(tail_rows(rows, 20), correlate.LAG_METRICS, "weight_change", 7, 5)
+    recent = correlate.lag_correlations(tail_rows(rows, 30), correlate.LAG_METRICS, "weight_change", 7, 5)
     return report.lag_summary(correlate.best_lags(all_time), correlate.best_lags(recent))
 
 
@@ -278,7 +278,7 @@ def activity_regime_runs(spark, sf_dir):
 
 @query("bias_signal")
 def bias_signal(spark, sf_dir):
-    return regimes.bias_signal(wearable_report(spark, sf_dir), min_pairs=5)
+    return regimes.bias_signal(wearable_report(spark, sf_dir))
 
 
 @query("recovery_scatter")
@@ -300,7 +300,7 @@ def report_inputs(spark, sf_dir):
 
 @query("weekly_table", 5)
 def weekly_table(spark, sf_dir):
-    return rollup.weekly_table(with_energy(spark, sf_dir), 4)
+    return rollup.weekly_table(with_energy(spark, sf_dir))
 
 
 @query("weekly_table_orders", 5)
@@ -310,7 +310,7 @@ def weekly_table_orders(spark, sf_dir):
 
 @query("weekly_decision", 5)
 def weekly_decision(spark, sf_dir):
-    return rollup.weekly_decision(wearable_report(spark, sf_dir), 3)
+    return rollup.weekly_decision(wearable_report(spark, sf_dir))
 
 
 @query("waterfall")
@@ -325,7 +325,7 @@ def waterfall_orders(spark, sf_dir):
 
 @query("weekly_activity")
 def weekly_activity(spark, sf_dir):
-    return rollup.weekly_activity(panels.event_days(spark, sf_dir), rows=15, weeks=3)
+    return rollup.weekly_activity(panels.event_days(spark, sf_dir))
 
 
 @query("dow_stats")
@@ -375,7 +375,7 @@ def adherence_counts(spark, sf_dir):
 
 @query("adherence_insights")
 def adherence_insights(spark, sf_dir):
-    return rollup.adherence_insights(prepared(spark, sf_dir), GOALS.target_energy, rows=20)
+    return rollup.adherence_insights(prepared(spark, sf_dir), GOALS.target_energy)
 
 
 @query("recent_macros")
@@ -418,7 +418,7 @@ def session_groups(spark, sf_dir):
 
 @query("session_week_pivot")
 def session_week_pivot(spark, sf_dir):
-    return ses.group_week_pivot(panels.sessions(spark, sf_dir), 3)
+    return ses.group_week_pivot(panels.sessions(spark, sf_dir))
 
 
 @query("session_table")
@@ -702,5 +702,5 @@ def text_classify(spark, sf_dir):
     )
 
 
-# Queries over files register themselves.
-from checks import file_queries  # noqa: E402,F401
+# Queries over files and over the long panel register themselves.
+from checks import file_queries, long_queries  # noqa: E402,F401

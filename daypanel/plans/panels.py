@@ -259,3 +259,47 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [F.struct(F.lit(e).alias("endpoint"), p.alias("payload"), at(2)) for e, p in payloads.items()]
     rows += [F.struct(F.lit(e).alias("endpoint"), F.when(p != "{}", first).otherwise(p).alias("payload"), at(1)) for e, p in payloads.items()]
     return days.select(*KEYS, F.inline(F.array(*rows)))
+
+
+# Name, expression over the orders of a nation and day, and when it is missing: where (day of the year + shift) is a multiple of the step.
+LONG_COLUMNS = [
+    ("energy", "1400 + 0.0032 * price", 0, 1), ("protein", "0.00032 * price", 0, 1), ("carbs", "32 * n + 0.0032 * price", 0, 1), ("fat", "0.00032 * price", 0, 1),
+    ("fiber", "2 * n", 0, 1), ("sodium", "0.032 * price", 0, 1), ("water", "0.0032 * price", 0, 1), ("weight", "78 + 0.0032 * balance", 6, 0),
+    ("w_steps", "0.032 * price", 5, 1), ("w_distance_m", "8 * n + 0.032 * price", 7, 2), ("w_active_kcal", "0.0032 * price", 4, 3), ("w_resting_hr", "50 + 0.0032 * balance", 5, 4),
+    ("w_sleep_seconds", "18000 + 0.032 * price", 3, 5), ("w_sleep_score", "40 + 0.00032 * price", 4, 6), ("w_avg_stress", "20 + 0.0032 * balance", 5, 0),
+    ("w_body_battery_max", "60 + 0.00032 * price", 4, 1), ("w_body_battery_min", "5 + 0.0032 * balance", 6, 2), ("w_moderate_min", "0.00032 * price", 3, 0),
+    ("w_vigorous_min", "0.0032 * abs(balance)", 4, 0), ("w_hrv", "30 + 0.00032 * price", 4, 5), ("w_respiration", "12 + 0.00032 * balance", 5, 6),
+]
+
+
+def long_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years of days of few entities, with gaps in weight and in every wearable column."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias(DAY), "o_totalprice")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias(ENTITY), "c_acctbal")
+    days = orders.join(customers, "o_custkey").groupBy(*KEYS).agg(F.max("o_totalprice").alias("price"), F.max("c_acctbal").alias("balance"), F.count(F.lit(1)).alias("n"))
+
+    def value(text: str, step: int, shift: int) -> Column:
+        whole = F.expr(text).cast("double")
+        return F.when((F.dayofyear(DAY) + shift) % step != 0, whole) if step else whole
+
+    return days.select(*KEYS, *(value(text, step, shift).alias(c) for c, text, step, shift in LONG_COLUMNS), F.col("n").cast("int").alias("w_session_count"))
+
+
+# Session type standing for each order priority.
+SESSION_OF_PRIORITY = {"1-URGENT": "Running", "2-HIGH": "walking", "3-MEDIUM": "strength_training", "4-NOT SPECIFIED": "road_biking", "5-LOW": "yoga"}
+
+
+def long_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order but a share as a session of its customer's nation."""
+    kind = F.lit("other")
+    for priority, name in SESSION_OF_PRIORITY.items():
+        kind = F.when(F.col("o_orderpriority") == priority, name).otherwise(kind)
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias(ENTITY))
+    price = F.col("o_totalprice")
+    return orders.join(customers, "o_custkey").select(
+        ENTITY, F.col("o_orderdate").cast("date").alias(DAY), F.col("o_orderkey").cast("bigint").alias("session_id"), F.col("o_orderstatus").alias("session_name"), kind.alias("session_type"),
+        F.lit("08:00").alias("start_time"), (price * 0.00032).alias("duration_min"), (price * 0.0032).alias("kcal"),
+        F.when(F.col("o_orderkey") % 4 != 0, 90 + price * 0.00032).alias("avg_hr"), F.when(F.col("o_orderkey") % 4 != 0, 110 + price * 0.00032).alias("max_hr"),
+        (price * 0.00032).alias("training_effect"), (price * 0.00064).alias("training_load"),
+    )
