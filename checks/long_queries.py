@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from checks.queries import GOALS, query
-from daypanel.core import tail_rows
 from daypanel.operators import correlate, energy, metrics, panel, regimes, rollup, sessions as ses
 from daypanel.plans import panels, report
 
@@ -62,7 +61,4 @@ def lag_matrix_long(spark, sf_dir):
 
 @query("lag_summary_long")
 def lag_summary_long(spark, sf_dir):
-    rows = wearable_report(spark, sf_dir)
-    all_time = correlate.lag_correlations(rows, correlate.LAG_METRICS, "weight_change", 7, 11)
-    recent = correlate.lag_correlations(tail_rows(rows, 30), correlate.LAG_METRICS, "weight_change", 7, 11)
-    return report.lag_summary(correlate.best_lags(all_time), correlate.best_lags(recent))
+    return report.lag_summary(wearable_report(spark, sf_dir))

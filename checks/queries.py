@@ -240,10 +240,7 @@ def lag_two_targets(spark, sf_dir):
 
 @query("lag_summary")
 def lag_summary(spark, sf_dir):
-    rows = wearable_report(spark, sf_dir)
-    all_time = correlate.lag_correlations(rows, correlate.LAG_METRICS, "weight_change", 7, 11)
-    recent = correlate.lag_correlations(tail_rows(rows, 30), correlate.LAG_METRICS, "weight_change", 7, 5)
-    return report.lag_summary(correlate.best_lags(all_time), correlate.best_lags(recent))
+    return report.lag_summary(wearable_report(spark, sf_dir), parts={"all_time": (None, 11), "recent": (30, 5)})
 
 
 # --- attribution and regimes -------------------------------------------------------------------
@@ -619,14 +616,12 @@ def weight_projection(spark, sf_dir):
 
 @query("weight_scenarios", 4)
 def weight_scenarios(spark, sf_dir):
-    days = energy_orders(spark, sf_dir)
-    return trend.scenario_summary(days, energy.estimates(days), ORDER_GOALS.target_weight)
+    return trend.scenarios(energy_orders(spark, sf_dir), ORDER_GOALS.target_weight)
 
 
 @query("scenario_paths", 4)
 def scenario_paths(spark, sf_dir):
-    days = with_energy(spark, sf_dir)
-    return trend.scenario_paths(trend.scenario_summary(days, energy.estimates(days), GOALS.target_weight))
+    return trend.scenario_paths(trend.scenarios(with_energy(spark, sf_dir), GOALS.target_weight))
 
 
 @query("goal_progress", 5)
@@ -646,8 +641,7 @@ def burndown(spark, sf_dir):
 
 @query("burndown_targets", 3)
 def burndown_targets(spark, sf_dir):
-    days = energy.with_estimates(with_energy(spark, sf_dir))
-    return trend.burndown_targets(trend.burndown(days), trend.goal_progress(days, GOALS.target_weight))
+    return trend.burndown_state(with_energy(spark, sf_dir), GOALS.target_weight)
 
 
 @query("status_summary", 5)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.core import DAY, ENTITY, by_day, ensure_columns, numeric
+from daypanel.core import DAY, ENTITY, by_day, ensure_columns, numeric, rank_from_end
 from daypanel.functions.stats import corr_p_value, fisher_bound, pair_count, safe_corr
 
 # Wearable metrics of the lag report, label to column.
@@ -53,7 +53,18 @@ def lag_correlations_with(
     daily: DataFrame, metrics: Sequence[str] | Mapping[str, str], targets: Mapping[str, str],
     max_lag: int = 0, min_pairs: int = 3,
 ) -> DataFrame:
-    """(target, entity, metric, lag, n, r) for several target series in one pass.
+    """(target, entity, metric, lag, n, r) for several target series in one pass."""
+    return lag_correlations_of(daily, metrics, targets, {"all": (None, min_pairs)}, max_lag).drop("part")
+
+
+def lag_correlations_of(
+    daily: DataFrame, metrics: Sequence[str] | Mapping[str, str], targets: Mapping[str, str],
+    parts: Mapping[str, tuple[int | None, int]], max_lag: int = 0,
+) -> DataFrame:
+    """(part, target, entity, metric, lag, n, r) for several target series and several spans of rows in one pass.
+
+    ``parts`` gives for each span how many of an entity's last rows it has (None: all) and how many pairs it needs.  A lag reaches back
+    inside its span only, as if the rows before it were absent.
 
     One window by entity shifts the array of all metrics, so it shares the panel's partitioning and sort.  Metrics become rows
     only after it: the rows stay where they are, and the aggregate by (entity, metric) needs no exchange of its own.
@@ -61,20 +72,22 @@ def lag_correlations_with(
     names = {f"_y{i}": c for i, c in enumerate(targets.values())}
     rows, labels = wide_metrics(daily, metrics, names)
     lags = range(max_lag + 1)
-    rows = rows.withColumns({f"_x{k}": F.lag("x", k).over(by_day()) if k else F.col("x") for k in lags})
+    rows = rows.withColumns({f"_x{k}": F.lag("x", k).over(by_day()) if k else F.col("x") for k in lags} | {"_back": rank_from_end()})
     cell = [F.struct(F.lit(m).alias("metric"), *(F.col(f"_x{k}")[i].alias(f"_x{k}") for k in lags)) for i, m in enumerate(labels)]
-    rows = rows.select(ENTITY, *names, F.inline(F.array(*cell)))
+    rows = rows.select(ENTITY, "_back", *names, F.inline(F.array(*cell)))
     aggs, cells = [], []
-    for y, label in zip(names, targets):
-        for k in lags:
-            x, n, r = F.col(f"_x{k}"), f"_n{k}{y}", f"_r{k}{y}"
-            aggs += [pair_count(x, F.col(y)).alias(n), safe_corr(x, F.col(y)).alias(r)]
-            cells.append(
-                F.struct(
-                    F.lit(label).alias("target"), F.lit(k).alias("lag"), F.col(n).alias("n"),
-                    F.when(F.col(n) >= min_pairs, F.col(r)).alias("r"),
+    for p, (part, (last, min_pairs)) in enumerate(parts.items()):
+        for y, label in zip(names, targets):
+            for k in lags:
+                inside = F.lit(True) if last is None else F.col("_back") + k <= last
+                x, n, r = F.when(inside, F.col(f"_x{k}")), f"_n{p}_{k}{y}", f"_r{p}_{k}{y}"
+                aggs += [pair_count(x, F.col(y)).alias(n), safe_corr(x, F.when(inside, F.col(y))).alias(r)]
+                cells.append(
+                    F.struct(
+                        F.lit(part).alias("part"), F.lit(label).alias("target"), F.lit(k).alias("lag"), F.col(n).alias("n"),
+                        F.when(F.col(n) >= min_pairs, F.col(r)).alias("r"),
+                    )
                 )
-            )
     wide = rows.groupBy(ENTITY, "metric").agg(*aggs)
     return wide.select(ENTITY, "metric", F.inline(F.array(*cells)))
 
@@ -127,6 +140,18 @@ def best_lags(corr: DataFrame) -> DataFrame:
     )
 
 
+def best_lags_of(corr: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Per (entity, metric) the best lag and its r of every part, as columns, in one aggregate."""
+    picks = []
+    for p in parts:
+        usable = F.col("r").isNotNull() & (F.col("part") == p)
+        picks.append(F.max_by(F.struct("lag", "r"), F.when(usable, F.struct(size(F.col("r")).alias("size"), (-F.col("lag")).alias("first")))).alias(f"_{p}"))
+        picks.append(F.bool_or(usable).alias(f"_any_{p}"))
+    best = corr.groupBy(ENTITY, "metric").agg(*picks)
+    of = lambda p, c: F.when(F.col(f"_any_{p}"), F.col(f"_{p}.{c}")).alias(f"{p}_{'lag' if c == 'lag' else 'r'}")
+    return best.select(ENTITY, "metric", *(of(p, c) for p in parts for c in ("lag", "r")))
+
+
 def lag_matrix(corr: DataFrame, max_lag: int = 7) -> DataFrame:
     """(entity, metric) by lag, columns ``lag_0`` and up."""
     cells = [F.max(F.when(F.col("lag") == k, F.col("r"))).alias(f"lag_{k}") for k in range(max_lag + 1)]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daypanel.core import DAY, ENTITY, ensure_columns, rank_from_end, tail_rows, up_to_here, whole
 from daypanel.functions import scalars as sc
+from daypanel.operators import energy
 from daypanel.operators.metrics import Goals
 from daypanel.operators.rollup import first_value, last_value
 
@@ -59,28 +60,31 @@ def weight_trends(daily: DataFrame, recent_rows: int = 90) -> DataFrame:
     )
 
 
+def fit_columns(rows: int = 30) -> dict[str, Column]:
+    """What the fit needs of every row: its rank from the end, and among the last known smoothed points its position."""
+    known = (rank_from_end() <= rows) & F.col("weight_smoothed").isNotNull()
+    return {"_back": rank_from_end(), "_i": F.when(known, F.count(F.when(known, F.lit(1))).over(up_to_here()) - 1).cast("double")}
+
+
+def fit_parts(rows: int = 30) -> dict[str, Column]:
+    """Aggregates of the line through the last smoothed points by position, over the columns of :func:`fit_columns`.
+
+    The squares left over by a line are Syy - Sxy²/Sxx, so the deviation of the residuals needs no second pass.
+    """
+    i, recent = F.col("_i"), F.col("_back") <= rows
+    y = F.when(i.isNotNull(), F.col("weight_smoothed"))
+    left = F.regr_syy(y, i) - F.try_divide(F.pow(F.regr_sxy(y, i), F.lit(2.0)), F.nullif(F.regr_sxx(y, i), F.lit(0.0)))
+    return {
+        "points": F.count(i), "slope": F.regr_slope(y, i), "intercept": F.regr_intercept(y, i),
+        "deviation": F.sqrt(F.greatest(left, F.lit(0.0)) / F.nullif(F.count(i), F.lit(0))), "last_weight": F.max_by("weight_smoothed", i),
+        "last_day": F.max(DAY), "recent_intake": F.avg(F.when(recent, F.col("energy"))),
+    }
+
+
 def smoothed_fit(daily: DataFrame, rows: int = 30) -> DataFrame:
-    """Line through the last smoothed points by position, with the deviation of the residuals."""
-    recent = tail_rows(ensure_columns(daily, {"energy": "double"}).select(ENTITY, DAY, "weight_smoothed", "energy"), rows)
-    recent = recent.withColumns(
-        {"_last_day": F.max(DAY).over(whole()), "_intake": F.avg("energy").over(whole())}
-    ).filter("weight_smoothed is not null")
-    recent = recent.withColumn("_i", (F.count(F.lit(1)).over(up_to_here()) - 1).cast("double"))
-    y, i = F.col("weight_smoothed"), F.col("_i")
-    recent = recent.withColumns(
-        {"_slope": F.regr_slope(y, i).over(whole()), "_icept": F.regr_intercept(y, i).over(whole())}
-    )
-    residual = y - (F.col("_slope") * i + F.col("_icept"))
-    fit = recent.groupBy(ENTITY).agg(
-        F.count(F.lit(1)).alias("points"),
-        F.max("_slope").alias("slope"),
-        F.max("_icept").alias("intercept"),
-        F.stddev_pop(residual).alias("deviation"),
-        last_value("weight_smoothed").alias("last_weight"),
-        F.max("_last_day").alias("last_day"),
-        F.max("_intake").alias("recent_intake"),
-    )
-    return fit.filter("points > 1")
+    """Line through the last smoothed points by position, with the deviation of the residuals, in one aggregate."""
+    daily = ensure_columns(daily, {"energy": "double"}).select(ENTITY, DAY, "weight_smoothed", "energy").withColumns(fit_columns(rows))
+    return daily.groupBy(ENTITY).agg(*(e.alias(c) for c, e in fit_parts(rows).items())).filter("points > 1")
 
 
 def future_days(df: DataFrame, last_day: Column, days: int = PROJECTION_DAYS) -> DataFrame:
@@ -100,10 +104,21 @@ def projection(daily: DataFrame, days: int = PROJECTION_DAYS) -> DataFrame:
     )
 
 
+def scenarios(daily: DataFrame, target: float) -> DataFrame:
+    """:func:`scenario_summary` from the daily rows with the energy columns: fit and estimates are one aggregate of one scan."""
+    parts = energy.estimate_parts() | fit_parts()
+    rows = daily.withColumns({"_stable_intake": energy.stable_windows(), **fit_columns()})
+    one = energy.estimate_values(rows.groupBy(ENTITY).agg(*(e.alias(c) for c, e in parts.items())))
+    return scenario_rows(one.filter("points > 1 AND weighted_average IS NOT NULL"), target)
+
+
 def scenario_summary(daily: DataFrame, est: DataFrame, target: float) -> DataFrame:
-    """Four intake scenarios per entity: intake, daily change, days and date to the target."""
+    """Four intake scenarios per entity: intake, daily change, days and date to the target; from estimates made elsewhere."""
     known = est.select(ENTITY, "weighted_average").filter("weighted_average is not null")
-    base = smoothed_fit(daily).join(known, ENTITY)
+    return scenario_rows(smoothed_fit(daily).join(known, ENTITY), target)
+
+
+def scenario_rows(base: DataFrame, target: float) -> DataFrame:
     best = F.col("weighted_average")
     choices = [F.struct(F.lit(n).alias("scenario"), (best + d).alias("kcal")) for n, d in SCENARIOS]
     choices.append(F.struct(F.lit(CURRENT_SCENARIO).alias("scenario"), F.col("recent_intake").alias("kcal")))
@@ -148,10 +163,15 @@ def with_recent(daily: DataFrame, rows: int = 30) -> DataFrame:
 
 def goal_progress(daily: DataFrame, target: float) -> DataFrame:
     """Share complete, distance, trend, status and expected completion per entity, in one pass."""
-    rows = with_recent(daily.select(ENTITY, DAY, "weight", "weight_smoothed")).groupBy(ENTITY).agg(
-        first_value("weight").alias("start_weight"), last_value("weight").alias("current_weight"),
-        F.max(DAY).alias("last_day"), *(e.alias(c) for c, e in trend_parts(F.col("_recent")).items()),
-    )
+    rows = with_recent(daily.select(ENTITY, DAY, "weight", "weight_smoothed"))
+    return goal_values(rows.groupBy(ENTITY).agg(*(e.alias(c) for c, e in goal_parts(F.col("_recent")).items())), target)
+
+
+def goal_parts(recent: Column) -> dict[str, Column]:
+    return {"start_weight": first_value("weight"), "current_weight": last_value("weight"), "last_day": F.max(DAY), **trend_parts(recent)}
+
+
+def goal_values(rows: DataFrame, target: float, *further: str) -> DataFrame:
     rows = rows.filter("start_weight is not null").withColumn("trend_kg_week", trend_value())
     start, now, goal = F.col("start_weight"), F.col("current_weight"), F.lit(target)
     loss = start > goal
@@ -170,7 +190,7 @@ def goal_progress(daily: DataFrame, target: float) -> DataFrame:
     return rows.select(
         ENTITY, "start_weight", "current_weight", "trend_kg_week", complete.alias("complete"),
         (now - goal).alias("kg_remaining"), status.alias("status"), "days_to_goal", "last_day",
-        day_after("last_day", F.col("days_to_goal")).alias("goal_day"),
+        day_after("last_day", F.col("days_to_goal")).alias("goal_day"), *further,
     )
 
 
@@ -210,6 +230,33 @@ def burndown_targets(burn: DataFrame, progress: DataFrame) -> DataFrame:
     )
 
 
+def burndown_state(daily: DataFrame, target: float, min_rows: int = 8) -> DataFrame:
+    """:func:`burndown_targets` from the daily rows with the energy columns, in one aggregate of one scan.
+
+    The running sum's last value is the sum of all daily deficits: adaptive expenditure where known, else the estimate, less intake.
+    The estimate is one value an entity, so it enters as a multiple of the days that need it.
+    """
+    intake, spent = F.col("energy"), F.col("tdee_adaptive")
+    open_day = spent.isNull() & intake.isNotNull()
+    parts = {
+        **energy.estimate_parts(), **{f"_goal{c}": e for c, e in goal_parts(F.col("_back") <= 30).items()}, "_rows": F.count(F.lit(1)),
+        "_known": F.sum(spent - intake), "_open_days": F.count(F.when(open_day, F.lit(1))), "_open_intake": F.sum(F.when(open_day, intake)),
+    }
+    rows = daily.withColumns({"_stable_intake": energy.stable_windows(), "_back": rank_from_end()})
+    one = energy.estimate_values(rows.groupBy(ENTITY).agg(*(e.alias(c) for c, e in parts.items())))
+    best = F.col("weighted_average")
+    some = F.col("_known").isNotNull() | (F.col("_open_days") > 0)
+    current = F.coalesce("_known", F.lit(0.0)) + best * F.col("_open_days") - F.coalesce("_open_intake", F.lit(0.0))
+    one = one.filter(best.isNotNull() & (F.col("_rows") >= min_rows)).withColumn("current_deficit", F.when(some, current))
+    goal = one.select(ENTITY, "current_deficit", *(F.col(f"_goal{c}").alias(c) for c in goal_parts(F.lit(True))))
+    progress = goal_values(goal, target, "current_deficit")
+    remaining = F.abs("kg_remaining") * sc.KCAL_PER_KG
+    return progress.select(
+        ENTITY, "current_deficit", remaining.alias("remaining_deficit"), (F.col("current_deficit") + remaining).alias("target_deficit"),
+        F.col("goal_day").alias("projected_end"),
+    )
+
+
 def status_summary(daily: DataFrame, goals: Goals) -> DataFrame:
     """Current state per entity: weight, band, trend, intake, deficit, adherence of the last rows."""
     rows = tail_rows(daily, 30)

@@ -32,7 +32,7 @@ def estimates_of(enriched: DataFrame) -> DataFrame:
 
 def weight_report(enriched: DataFrame, goals: Goals) -> dict[str, DataFrame]:
     est = estimates_of(enriched)
-    scenarios = trend.scenario_summary(enriched, est, goals.target_weight)
+    scenarios = trend.scenarios(enriched, goals.target_weight)
     low, high = sc.healthy_weight_range(goals.height_cm)
     trends = trend.weight_trends(enriched).join(trend.axis_limits(enriched, goals.target_weight), ENTITY)
     return {
@@ -148,21 +148,25 @@ def adjusted_report(report: DataFrame) -> dict[str, DataFrame]:
 
 
 def lag_report(report: DataFrame) -> dict[str, DataFrame]:
-    """Recent matrices are computed after the trim to the last 30 rows, all-time ones before."""
+    """Recent matrices see the last 30 rows only, all-time ones every row; both come from one pass."""
     targets = {"change": "weight_change", "trend": "trend_change_7d"}
-    tables, best = {}, {}
-    for name, rows, need in (("all", report, 11), ("recent", tail_rows(report, 30), 5)):
-        both = correlate.lag_correlations_with(rows, correlate.LAG_METRICS, targets, 7, need)
-        for target in targets:
-            tables[f"lag_{name}_{target}"] = correlate.lag_matrix(both.filter(F.col("target") == target))
-        best[name] = correlate.best_lags(both.filter("target = 'change'"))
-    tables["lag_summary"] = lag_summary(best["all"], best["recent"])
-    return tables
+    both = correlate.lag_correlations_of(report, correlate.LAG_METRICS, targets, LAG_PARTS, 7)
+    tables = {
+        f"lag_{name}_{target}": correlate.lag_matrix(both.filter((F.col("part") == part) & (F.col("target") == target)))
+        for name, part in (("all", "all_time"), ("recent", "recent")) for target in targets
+    }
+    return tables | {"lag_summary": lag_summary(report)}
+
+
+# Spans of the lag report: how many of the last rows, and how many pairs a value needs.
+LAG_PARTS = {"all_time": (None, 11), "recent": (30, 5)}
 
 
-def lag_summary(all_time: DataFrame, recent: DataFrame) -> DataFrame:
-    pick = lambda df, p: df.select(ENTITY, "metric", F.col("best_lag").alias(f"{p}_lag"), F.col("best_r").alias(f"{p}_r"))
-    return pick(all_time, "all_time").join(pick(recent, "recent"), [ENTITY, "metric"], "full")
+def lag_summary(report: DataFrame, target: str = "weight_change", parts: dict | None = None) -> DataFrame:
+    """The best lag of every metric over all rows and over the recent ones, side by side, in one pass."""
+    parts = parts or LAG_PARTS
+    corr = correlate.lag_correlations_of(report, correlate.LAG_METRICS, {target: target}, parts, 7)
+    return correlate.best_lags_of(corr, list(parts))
 
 
 def wearable_pages(report: DataFrame, sessions: DataFrame) -> dict[str, DataFrame]:
@@ -188,7 +192,7 @@ def goal_report(enriched: DataFrame, goals: Goals) -> dict[str, DataFrame]:
         "goal_progress": progress,
         "goal_change": trend.cumulative_change(enriched),
         "goal_burndown": burn,
-        "goal_targets": trend.burndown_targets(burn, progress),
+        "goal_targets": trend.burndown_state(enriched, goals.target_weight),
     }
 
 
