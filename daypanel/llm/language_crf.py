@@ -109,13 +109,16 @@ def training_sample(labelled: DataFrame, sample: int) -> DataFrame:
 
     Copies are reduced first, so a language of many copies of few texts keeps them all, and no text fills the places of others.
     """
-    texts = labelled.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies")).drop("copies")
+    keyed = labelled.select("lang", "text", F.md5("text").alias("key"))
+    # Digests are counted and ranked; only the texts drawn are moved.
+    texts = keyed.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("copies")).drop("copies")
     counts = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    mark = F.pmod(F.xxhash64("text"), F.lit(1_000_003))
+    mark = F.pmod(F.xxhash64("key"), F.lit(1_000_003))
     # Of languages with up to twice the sample all texts pass, of others about twice the sample.
     thin = texts.join(counts, "lang").where(mark * F.col("n") < F.lit(2 * sample * 1_000_003).cast("long"))
-    ranked = thin.withColumn("_at", F.row_number().over(Window.partitionBy("lang").orderBy(mark, "text")))
-    return ranked.where(F.col("_at") <= sample).select("lang", "text")
+    ranked = thin.withColumn("_at", F.row_number().over(Window.partitionBy("lang").orderBy(mark, "key")))
+    drawn = ranked.where(F.col("_at") <= sample).select("lang", "key")
+    return keyed.join(drawn, ["lang", "key"]).groupBy("lang", "key").agg(F.first("text").alias("text")).select("lang", "text")
 
 
 def learn_lexicon(sample: DataFrame, languages: list[str]) -> dict[str, int]:
