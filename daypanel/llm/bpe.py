@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import json
 from collections.abc import Callable
 
+import pyarrow as pa
 import regex
 
 # The split pattern of the public rank files.
@@ -28,8 +30,10 @@ def memory(name: str, start: dict) -> dict:
 
 
 def forget() -> None:
-    """Give back what this worker remembers, before a step that needs the space."""
+    """Give back what this worker remembers and what its allocators hold, before a step that needs the space."""
     _memories.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def splitter() -> Callable[[str], list[str]]:

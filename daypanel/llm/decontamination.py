@@ -11,8 +11,13 @@ answer) occurs.
 Benchmark items are the stated query set: they are taken in blocks of at most ``block`` items, and only a block is ever
 sent to the tasks.  All passages of all documents are searched.
 
-Defined results: null or empty texts, and documents shorter than ``LEAST`` words, match nothing; repeated rows are reported each;
-an empty table on either side gives an empty result; further columns are ignored.
+Items under ``LEAST`` words have too few words for a cosine: they are compared whole, by hashes of all runs of their length, and
+found where all their words stand in a row; items under ``SHORTEST`` words only where they are the whole text.
+
+Defined results: null or empty texts match nothing, and documents shorter than ``LEAST`` words only such short items; items
+without a word are skipped; ties between passages of an item go to the longest common subsequence, then the larger cosine; repeated rows are
+reported each; a very long text is searched passage by passage; an empty table on either side gives an empty result; further columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import forget
 from .common import in_batches, kept_rows, slices
 
 BUCKETS = 1 << 15  # hashed words
@@ -37,6 +43,7 @@ PASSAGE = 32  # words
 STRIDE = 16
 LEAST = 8
 BITS = 1024  # of the word signatures
+SHORTEST = 3  # an item of fewer words is found only as a whole text
 COSINE = 0.42
 VERBATIM = 0.8
 PARAPHRASE = 0.6
@@ -68,6 +75,7 @@ def sketch(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray, int]:
     omega = docs.sparkSession.sparkContext.broadcast(test_matrix())
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # a worker may come from an earlier stage
         om = omega.value
         total = np.zeros((COLUMNS + 1, BUCKETS), np.float32)
         passages = 0
@@ -80,14 +88,15 @@ def sketch(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray, int]:
                 ids = hashed([x for w in texts for x in w]) & (BUCKETS - 1)
                 firsts = np.cumsum(sizes) - sizes
                 starts = np.concatenate([np.arange(f, f + n, PASSAGE) for f, n in zip(firsts, sizes, strict=True)])
-                x = np.add.reduceat(np.take(om, ids, axis=1), starts, axis=1)
                 of = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(ids)]))
                 passages += len(starts)
                 order = np.argsort(ids.astype(np.uint16), kind="stable")
                 sids = ids[order]
                 cuts = np.flatnonzero(np.r_[True, sids[1:] != sids[:-1]])
                 rows = sids[cuts]
-                total[:COLUMNS, rows] += np.add.reduceat(np.take(x, of[order], axis=1), cuts, axis=1)
+                for c in range(0, COLUMNS, 24):  # some columns at a time, a bound on memory
+                    x = np.add.reduceat(np.take(om[c : c + 24], ids, axis=1), starts, axis=1)
+                    total[c : min(c + 24, COLUMNS), rows] += np.add.reduceat(np.take(x, of[order], axis=1), cuts, axis=1)
                 # passages that hold the bucket: a word counts once in its passage
                 fresh = np.r_[True, (sids[1:] != sids[:-1]) | (of[order][1:] != of[order][:-1])]
                 total[COLUMNS, rows] += np.add.reduceat(fresh.astype(np.float32), cuts)
@@ -168,12 +177,35 @@ def passage_starts(n: int) -> list[int]:
     return list(range(0, max(n - PASSAGE, 0) + STRIDE, STRIDE)) if n > PASSAGE else [0]
 
 
+def run_hash(hashes: np.ndarray, n: int) -> np.ndarray:
+    """One number for every run of n words."""
+    out = np.zeros(max(len(hashes) - n + 1, 0), np.int64)
+    for k in range(n):
+        out = out * np.int64(1_000_003) + hashes[k : len(hashes) - n + 1 + k]
+    return out
+
+
+def short_items(words: list[bytes], short: dict) -> dict[int, tuple[float, float, bool]]:
+    """Items under ``LEAST`` words that stand whole in a text; those under ``SHORTEST`` words only where they are the whole text."""
+    found: dict[int, tuple[float, float, bool]] = {}
+    hashes = hashed(words)
+    for n, known in short.items():
+        if n > len(words) or (n < SHORTEST and n != len(words)):
+            continue
+        runs = run_hash(hashes, n)
+        for i in np.flatnonzero(np.isin(runs, np.fromiter(known, np.int64, len(known)))).tolist():
+            found |= {item: (1.0, 1.0, True) for item, own in known[int(runs[i])] if words[i : i + n] == own}
+    return found
+
+
 def item_passages(items: list[tuple[int, str]], vectors: np.ndarray) -> dict:
     """Passages of benchmark items with their latent vectors, words, and the words of each item's answer."""
-    out: dict = {"item": [], "vector": [], "masks": [], "size": [], "answer": [], "bits": []}
+    out: dict = {"item": [], "vector": [], "masks": [], "size": [], "answer": [], "bits": [], "short": {}}
     for item, text in items:
         words = words_of(text)
         if len(words) < LEAST:
+            if words:
+                out["short"].setdefault(len(words), {}).setdefault(run_hash(hashed(words), len(words)).item(), []).append((item, words))
             continue
         sentences = [s for s in map(words_of, _END.split(text.lower())) if s]
         for s in passage_starts(len(words)):
@@ -226,6 +258,9 @@ def item_blocks(benchmark: DataFrame, vectors: np.ndarray, block: int) -> Iterat
 
 def matches(texts: list[list[bytes]], vectors: np.ndarray, q: dict, cosine: float, verbatim: float, paraphrase: float) -> Iterator[tuple[int, dict]]:
     """Rows with what they contain, by item: candidates by cosine of latent vectors, then the word checks."""
+    for i, w in enumerate(texts) if q["short"] else []:
+        if best := short_items(w, q["short"]):
+            yield i, best
     if not q["item"]:
         return
     queries = unit(np.array(q["vector"], np.float32))

@@ -64,3 +64,35 @@ def test_nulls_repeats_long_and_empty(spark):
     assert D.clean(table, bench).count() == 3
     assert D.find(table.limit(0), bench).count() == 0 and D.find(table, bench.limit(0)).count() == 0
     assert D.clean(table, bench.limit(0)).count() == 6
+
+
+def test_short_items_stand_whole(spark):
+    items = [(1, "red green blue"), (2, "what is the Answer?"), (3, "zzz"), (4, ""), (5, None), (6, "one two")]
+    docs = [(1, "a red, green blue b"), (2, "red green and blue"), (3, "so what is the answer then"), (4, "zzz"), (5, "zzz zzz"), (6, "one two"), (7, "one two three"), (8, None), (9, "red green"), (10, "x " * 5000 + "red green blue " + "y " * 5000)]
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} long, text string")
+    got = {(r.doc_id, r.item_id) for r in D.find(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    assert got == {(1, 1), (3, 2), (4, 3), (6, 6), (10, 1)}
+    left = D.clean(frame(docs, "doc_id"), frame(items, "item_id")).collect()
+    assert {r.doc_id for r in left} == {2, 5, 7, 8, 9}
+
+
+def test_recall_of_the_cosine_filter(spark):
+    """Against the same word checks without the filter, on the given prose and at two corpus sizes."""
+    rng = random.Random(3)
+    sf = "/root/testdata/sf0.01"
+    prose = [r.text.split() for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(600).collect() if r.text]
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    vocab = [w for t in prose[:50] for w in t]
+    for n in (120, len(prose)):
+        docs = [(i, " ".join(t[:400])) for i, t in enumerate(prose[:n])]
+        for i in range(80):
+            item = bench[i % len(bench)][1].split()
+            share = (0.0, 0.1, 0.2, 0.3)[i % 4]
+            near = [rng.choice(vocab) if rng.random() < share else w for w in item]
+            host = prose[rng.randrange(n)][:150]
+            docs.append((10_000 + i, " ".join(host[:70] + near + host[70:])))
+        d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+        vectors = D.embedding(d)
+        with_filter, without = ({(r.doc_id, r.item_id) for r in D.search(d, b, vectors, cosine=c).collect()} for c in (D.COSINE, -2.0))
+        assert len(without) >= 40 and with_filter <= without
+        assert len(with_filter) >= 0.98 * len(without)
