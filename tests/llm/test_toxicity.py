@@ -38,15 +38,45 @@ def test_held_out_labels_do_not_matter(spark):
     assert scores(labels) == scores(turned)
 
 
-def test_label_model_finds_the_better_voter():
+def votes_table(spark, rows):
+    return spark.createDataFrame(rows, "votes long, toxic int, n long").repartition(3)
+
+
+def test_label_model_finds_the_better_voter(spark):
     rng = np.random.default_rng(1)
     y = rng.random(4000) < 0.2
-    votes = np.stack([np.where(y, rng.random(4000) < 0.9, rng.random(4000) < 0.02), np.where(y, rng.random(4000) < 0.5, rng.random(4000) < 0.3)], 1).astype(float)
-    model = T.fit_labels(votes, np.ones(4000), np.where(rng.random(4000) < 0.2, y.astype(float), np.nan))
+    votes = np.where(y, rng.random(4000) < 0.9, rng.random(4000) < 0.02) + 2 * np.where(y, rng.random(4000) < 0.5, rng.random(4000) < 0.3)
+    known = [int(t) if k else None for t, k in zip(y, rng.random(4000) < 0.2, strict=True)]
+    model = T.fit_labels(votes_table(spark, [(int(v), t, 1) for v, t in zip(votes, known, strict=True)]), 2)
     p = model.posterior(np.array([[1.0, 0.0], [0.0, 1.0], [0.0, 0.0]]))
     assert p[0] > 0.5 > p[1] and p[0] > p[1] >= p[2]
 
 
+def test_rare_patterns_count(spark):
+    """Counts of equal patterns and one row each give the same model, and no pattern is left out, however rare."""
+    rng = np.random.default_rng(4)
+    rows = [(int(v), None if k < 2 else int(k == 2), int(n)) for v, k, n in zip(rng.integers(0, 1 << 12, 600), rng.integers(0, 4, 600), rng.integers(1, 4, 600), strict=True)]
+    a = T.fit_labels(votes_table(spark, rows), 12, 6)
+    b = T.fit_labels(votes_table(spark, [(v, t, 1) for v, t, n in rows for _ in range(n)]), 12, 6)
+    assert np.allclose(a.rates, b.rates, atol=1e-9) and abs(a.prior - b.prior) < 1e-9 and np.allclose(a.share, b.share, atol=1e-6)
+
+
+def test_toxic_texts_without_votes_are_reached(spark):
+    """Abuse in words that no voter knows is learned from the labels."""
+    rng = np.random.default_rng(6)
+    calm = [f"wort{i}" for i in range(300)]
+    rude = [f"grobian{i}" for i in range(60)]  # many different words, each too rare for a voter
+    pick = lambda words, n: [str(w) for w in rng.choice(words, n)]
+    rows, truth = [], []
+    for i in range(600):
+        toxic = i % 4 == 0
+        rows.append((i, " ".join(pick(calm, 30) + (pick(rude, 3) if toxic else [])), "de", "s", 0, ""))
+        truth.append((i, int(toxic)))
+    got = T.score(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(truth, "doc_id long, toxic int")).collect()
+    held = [(r.predicted, dict(truth)[r.doc_id]) for r in got if r.held_out]
+    assert np.mean([p == 1 for p, t in held if t]) >= 0.9 and np.mean([p == 0 for p, t in held if not t]) >= 0.95
+
+
 def test_nulls_repeats_long_and_empty(spark):
     rows = [(None, None, "x", "y", 1, "z"), (1, "", None, None, None, None), (2, "you are a stupid idiot and a pathetic loser", "en", "s", 0, ""), (2, "you are a stupid idiot and a pathetic loser", "en", "s", 0, ""), (3, "a calm and kind word " * 10_000, "en", "s", 0, "")]
     docs = spark.createDataFrame(rows, SCHEMA)
