@@ -32,6 +32,7 @@ from .common import in_batches, kept_rows, stored
 BUCKETS = 1 << 16  # hashed feature weights
 LEXICON = 3_000  # words per language
 SEGMENT = 48  # words in a training sequence
+PIECE, CONTEXT = 1024, 64  # words of a piece of a long text, and words that it sees beside them
 LONGEST = 40  # letters of an element of the chain: longer runs, such as those of scripts without spaces, are several elements
 _words = regex.compile(rf"\p{{L}}[\p{{L}}\p{{M}}]{{0,{LONGEST - 1}}}").findall
 
@@ -100,6 +101,26 @@ def posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tu
     return p / p.sum(1, keepdims=True), moved
 
 
+def long_posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, piece: int = PIECE, context: int = CONTEXT) -> np.ndarray:
+    """:func:`posteriors`, with sequences longer than a piece cut into pieces that see ``context`` words on either side.
+
+    The chain forgets what lies ``context`` words away, so words of a piece get the posteriors of the whole text; all pieces go forward and
+    backward together, so one very long text takes no more steps than a piece.
+    """
+    if not len(lengths) or lengths.max() <= piece + context:
+        return posteriors(scores, lengths, moves)[0]
+    firsts = np.cumsum(lengths) - lengths
+    counts = -(-lengths // piece)
+    of = np.repeat(np.arange(len(lengths)), counts)
+    begin = (np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)) * piece
+    end = np.minimum(begin + piece, lengths[of])
+    left, right = np.maximum(begin - context, 0), np.minimum(end + context, lengths[of])
+    sizes = right - left
+    at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - left, sizes)  # place in its text
+    own = (at >= np.repeat(begin, sizes)) & (at < np.repeat(end, sizes))
+    return posteriors(scores[np.repeat(firsts[of], sizes) + at], sizes, moves)[0][own]
+
+
 def is_held_out(doc_id: Column, parts: int = 4, rest: int = 2) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == rest, F.lit(False))
 
@@ -270,7 +291,7 @@ def verdicts(texts: list[list[str]], crf: Crf | None, known: dict, each: bool =
     if crf is None or not len(rows):
         return out
     own = lengths[rows]
-    p, _ = posteriors(sequence_scores([texts[i] for i in rows], crf, known), own, crf.moves)
+    p = long_posteriors(sequence_scores([texts[i] for i in rows], crf, known), own, crf.moves)
     starts = np.cumsum(own) - own
     sums = np.add.reduceat(p, starts, axis=0).astype(np.float64)
     best, top = sums.argmax(1), p.argmax(1)

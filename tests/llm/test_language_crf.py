@@ -70,3 +70,20 @@ def test_sample_keeps_languages_of_many_copies(spark):
 def test_long_runs_are_several_elements():
     run = "漢字仮名" * 100 + "x" * 100
     assert "".join(L.words_of(run)) == run and max(map(len, L.words_of(run))) <= L.LONGEST
+
+
+def test_pieces_of_a_long_text_equal_the_whole():
+    rng = np.random.default_rng(8)
+    lengths = np.array([3, 2500, 1, 700, 90, 1024, 1025])
+    scores, moves = rng.normal(size=(lengths.sum(), 3)).astype(np.float32) * 2, np.log(np.full((3, 3), 0.02) + np.eye(3) * 0.94)
+    want = L.posteriors(scores, lengths, moves)[0]
+    for piece in (50, 200, 1024):
+        assert np.abs(L.long_posteriors(scores, lengths, moves, piece, 64) - want).max() < 1e-4
+
+
+def test_one_very_long_text(spark):
+    text = "the reading of these words is plain english " * 150_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    crf = L.fit(spark.createDataFrame([(i, f"the words number {i} are plain", "en") for i in range(20)] + [(100 + i, f"die wörter nummer {i} sind klar", "de") for i in range(20)], "doc_id long, text string, lang string"))
+    row = L.label(docs, crf).first()
+    assert row.n_words == 8 * 150_000 and row.lang_pred == "en"
