@@ -60,14 +60,21 @@ def encode_pieces(df: DataFrame, sent: Broadcast, name: str) -> DataFrame:
 
 
 def cut(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """``row, k, start, last, part``: the overlapping chunks of ``row, piece``, dealt out evenly."""
-    n = F.length("piece")
-    starts = F.sequence(F.lit(0), F.greatest(n - overlap - 1, F.lit(0)), F.lit(chunk))
-    return (
-        long.select("row", F.posexplode(starts).alias("k", "start"), "piece", n.alias("n"))
-        .select("row", "k", "start", (F.col("start") + chunk + overlap >= F.col("n")).alias("last"), F.substring("piece", F.col("start") + 1, F.lit(chunk + overlap)).alias("part"))
-        .repartition("row", "k")
-    )
+    """``row, k, start, last, part``: the overlapping chunks of ``row, piece``, cut in one pass over each text and dealt out evenly."""
+    schema = pa.schema([("row", pa.int64()), ("k", pa.int32()), ("start", pa.int64()), ("last", pa.bool_()), ("part", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, piece in zip(batch.column(0), batch.column(1), strict=True):
+                text = piece.as_py()
+                n = len(text)
+                starts = range(0, max(n - overlap - 1, 0) + 1, chunk)
+                for i in range(0, len(starts), 64):  # some chunks in one batch
+                    own = starts[i : i + 64]
+                    columns = [[row.as_py()] * len(own), [i + j for j in range(len(own))], list(own), [a + chunk + overlap >= n for a in own], [text[a : a + chunk + overlap] for a in own]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return long.select("row", "piece").mapInArrow(run, "row long, k int, start long, last boolean, part string").repartition("row", "k")
 
 
 def edges(chunks: DataFrame, chunk: int, overlap: int) -> DataFrame:
@@ -120,11 +127,14 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", chunk: int = CH
     # written once, so that the row numbers stay what they are
     long = stored(picked.where(F.length("piece") > limit).withColumn("row", F.monotonically_increasing_id()), "long-texts")
     pieces = stitched(edges(cut(long, chunk, overlap), chunk, overlap), chunk).repartition("row", "at")
-    parts = encode_pieces(pieces, sent, ranks_path).groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("at", "ids", "decoded"))).alias("p")
-    )
-    whole = lambda field: F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x[field]))
-    joined = long.select("doc_id", "row").join(parts, "row").select("doc_id", whole("ids").alias("ids"), whole("decoded").alias("decoded"))
+    def whole(t: pa.Table) -> pa.Table:
+        """The pieces of one text, joined once."""
+        t = t.sort_by("at")
+        joined = [b"".join(t.column(c).to_pylist()) for c in ("ids", "decoded")]
+        return pa.table({"row": pa.array([t.column("row")[0].as_py()], pa.int64()), "ids": pa.array([joined[0]], pa.binary()), "decoded": pa.array([joined[1]], pa.binary())})
+
+    parts = encode_pieces(pieces, sent, ranks_path).select("row", "at", "ids", "decoded").groupBy("row").applyInArrow(whole, "row long, ids binary, decoded binary")
+    joined = long.select("doc_id", "row").join(parts, "row").select("doc_id", "ids", "decoded")
     return short.unionByName(joined).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
 

@@ -50,3 +50,9 @@ def test_query_on_whole_documents(spark, library):
         ids = library.encode_ordinary(r.text or "")
         want[r.doc_id] = (len(ids), hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest())
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op5_byte_bpe"](spark, sf).collect()} == want
+
+
+def test_one_very_long_text(spark):
+    text = "naïve words, 123 and 漢字…  " * 400_000
+    row = B.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).first()
+    assert bytes(row.decoded).decode() == text and row.n_tokens * 4 == len(row.ids)
