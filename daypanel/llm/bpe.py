@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import gc
 import heapq
 import json
@@ -15,13 +16,15 @@ import regex
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Entries of a worker's memory of encoded pre-tokens; beyond it the memory starts anew, results stay the same.
-MEMORY = 300_000
+MEMORY = 150_000
 
 _memories: dict[str, dict] = {}
 
 
 def memory(name: str, start: dict) -> dict:
-    """What this worker remembers under a name; it outlives a task, and starts anew once it is full."""
+    """What this worker remembers under a name; it outlives a task, and starts anew once it is full or another step asks."""
+    if name not in _memories:
+        forget()  # of the step before
     kept = _memories.setdefault(name, {})
     if not kept or len(kept) > MEMORY:
         kept.clear()
@@ -34,6 +37,10 @@ def forget() -> None:
     _memories.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps what it has
+        pass
 
 
 def splitter() -> Callable[[str], list[str]]:

@@ -9,7 +9,8 @@ Texts of one chunk (nearly all) stay in the task that read them; only longer tex
 of them occupies many tasks.  Where an overlap holds no common boundary (a pre-token longer than the overlap), the
 chunks on both sides form one piece, which is split anew.
 
-Defined results: null is empty (no ids); repeated rows are encoded each; further columns are ignored.
+Defined results: null is empty (no ids); repeated rows are encoded each; further columns are ignored, whatever their names; an empty table
+gives no rows; a very long text is cut in one pass, encoded by many tasks and joined once.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ reach the similarity.  The steps:
 Pairs inside one component need no comparison, so the components are exact.
 
 Defined results: null and empty texts have no shingles and link with nothing; a text of fewer than five words is one shingle; null
-ids take part but never name a component; repeated rows are one class; further columns are ignored.
+ids take part but never name a component; repeated rows are one class; further columns are ignored, whatever their names; ties in
+an order go by shingle; an empty table gives no rows; a very long text is one class with one shingle set.
 """
 
 from __future__ import annotations

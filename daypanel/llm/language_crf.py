@@ -9,7 +9,8 @@ steps on its own segments, the weights are averaged, and the next round starts f
 of words of one or more languages, so that transitions see switches.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; ties go to the first language in order;
-repeated rows are labelled each; without any labelled document everything is ``und``.
+repeated rows are labelled each; without any labelled document everything is ``und``; further columns are ignored, whatever their names;
+an empty table gives no rows; very long texts are labelled in pieces that see the words beside them.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import memory
+from .bpe import forget, memory
 from .common import in_batches, kept_rows, stored
 
 BUCKETS = 1 << 16  # hashed feature weights
@@ -231,6 +232,7 @@ def fit(labelled: DataFrame, sample: int = 300, rounds: int = 3, steps: int = 8,
         sent = drawn.sparkSession.sparkContext.broadcast(crf)
 
         def train(batches: Iterator[pd.DataFrame], turn: int = turn, sent=sent) -> Iterator[pd.DataFrame]:
+            forget()  # a worker may come from an earlier stage
             texts, labels = [], []
             for b in batches:  # a part of the bounded sample
                 texts += [words_of(t) for t in b["text"]]

@@ -5,7 +5,8 @@ one bit per failed rule.  Policies are versions: named sets of rules whose failu
 and ``ablation`` need only the bits, so a new policy costs no second look at the texts.
 
 Defined results: a null or empty text has no words (it fails ``few_words``); repeated rows give repeated rows; any
-further columns are ignored; an empty table gives an empty ledger.
+further columns are ignored, whatever their names; an empty table gives an empty ledger; a very long text is one row, measured in
+one pass over its bytes.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Law ``rows``: row counts of any two shards differ by one at most.  Ranks come fr
 bucket, so no task orders a whole shard.
 
 Defined results: null texts are empty texts and equal to each other; repeated rows are placed each; an empty table gives
-an empty result; columns besides ``doc_id`` and the text are ignored.
+an empty result; columns besides ``doc_id`` and the text are ignored, whatever their names; of a very long text only size and
+digest take part.  Ties between shards go to the lower number.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ and merge to exactly themselves.  In a text such pre-tokens count as one token b
 pre-tokens go through the merges, and a worker remembers those it has merged.
 
 Defined results: null is empty (0 tokens); special strings of the vocabulary inside a text are one token each, as the
-tokenizer library takes them by default; repeated rows are counted each.
+tokenizer library takes them by default; repeated rows are counted each; further columns are ignored, whatever their names; an
+empty table gives no rows; a very long text is one row of a task, counted in one pass.
 """
 
 from __future__ import annotations

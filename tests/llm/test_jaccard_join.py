@@ -117,6 +117,15 @@ def test_nulls_repeats_and_empty_table(spark):
     assert J.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_very_long_texts(spark):
+    rng = random.Random(5)
+    long = [f"w{rng.randrange(50_000)}" for _ in range(120_000)]
+    near = [w if i % 60 else "other" for i, w in enumerate(long)]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(long[:60_000])), (4, "short text of six words here")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    assert result(J.near_duplicates(docs)) == brute(rows)
+
+
 def test_query_on_whole_documents(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]

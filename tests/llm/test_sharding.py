@@ -50,3 +50,10 @@ def test_query_on_whole_documents(spark):
     for r in got:
         raw = texts[r.doc_id].encode()
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+
+
+def test_very_long_texts_and_a_third_of_equal_rows(spark):
+    rows = [(i, "same text", "a", "b", 1) for i in range(100)] + [(1000 + i, f"{i} " + "long " * 200_000, "a", "b", 1) for i in range(5)] + [(2000 + i, f"one {i}", None, None, None) for i in range(195)]
+    placed = S.assign(spark.createDataFrame(rows, SCHEMA)).collect()
+    checked(placed, 300)
+    assert {r.doc_id: r.size for r in placed if 1000 <= r.doc_id < 1005} == {1000 + i: 1_000_003 for i in range(5)}
