@@ -7,6 +7,11 @@
 5. encoding: token ids of each text, with digests of the ids and of the decoded bytes.
 
 Stages 1 to 4 return the columns of ``documents``.  ``run`` writes between the stages into the shared folder.
+
+Defined results: documents with a null or empty text go in stage 1; repeated rows of a document and its text stay once (stage 2), and of
+equal or linked documents the smallest id stays, a null id only where there is no other; further columns are carried as they are, whatever
+their names, and ``n_chars`` follows the text where there is one; an empty table gives an empty result in every stage; a very long text is
+judged, searched, masked and encoded whole.
 """
 
 from __future__ import annotations
