@@ -947,6 +947,20 @@ oracle(
     "current_weight current_bmi recent_intake recent_deficit recent_adherence_pct trend_kg_week days_to_goal", digits=5,
 )
 
+CTES["page"] = (
+    f"SELECT s.*, e.weighted_average, w.difference AS weekend_diff, s.recent_intake - e.weighted_average AS gap FROM ({BODIES['status_summary'][0]}) s "
+    f"LEFT JOIN odest e USING (entity) JOIN ({BODIES['weekend_difference'][0]}) w USING (entity)"
+)
+oracle(
+    "report_summary",
+    "SELECT page.*, CASE WHEN gap > 200 THEN 'reduce' WHEN gap < -200 THEN 'in deficit' WHEN gap IS NOT NULL THEN 'maintenance' END AS advice, "
+    "CASE WHEN abs(gap) > 200 THEN abs(gap) / 7000 * 7 END AS gap_kg_per_week, weighted_average - 500 AS kcal_for_half_kg_loss, weighted_average - 250 AS kcal_for_quarter_kg_loss, "
+    "CASE WHEN abs(weekend_diff) > 300 THEN 'improve weekend consistency' ELSE 'consistent' END AS weekend_advice, t.metric AS strongest_nutrient, t.r AS strongest_r FROM page "
+    "LEFT JOIN (SELECT entity, metric, r FROM c0o WHERE n > 2 AND r IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entity ORDER BY round(abs(r), 12) DESC, metric DESC) = 1) t USING (entity)",
+    "current_weight current_bmi recent_intake recent_deficit recent_adherence_pct trend_kg_week days_to_goal weighted_average weekend_diff gap gap_kg_per_week "
+    "kcal_for_half_kg_loss kcal_for_quarter_kg_loss strongest_r", digits=4,
+)
+
 # --- text labelling
 CTES["quotas"] = (
     f"SELECT source, least(n, f + CASE WHEN row_number() OVER (ORDER BY rest DESC, source) <= {SAMPLE_SIZE} - sum(f) OVER () THEN 1 ELSE 0 END) AS quota FROM (SELECT source, n, "

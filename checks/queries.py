@@ -649,6 +649,12 @@ def status_summary(spark, sf_dir):
     return trend.status_summary(energy_orders(spark, sf_dir), ORDER_GOALS)
 
 
+@query("report_summary", 4)
+def report_summary(spark, sf_dir):
+    """The joined summary page: state, estimate, advice, weekends and the strongest nutrient."""
+    return report.summary_report(report.enriched_daily(panels.processed_orders(spark, sf_dir), ORDER_GOALS), ORDER_GOALS)["summary"]
+
+
 # --- text labelling ----------------------------------------------------------------------------
 
 

@@ -101,7 +101,7 @@ def summary_report(enriched: DataFrame, goals: Goals) -> dict[str, DataFrame]:
     )
     top = correlate.nutrient_correlations(enriched, NUTRIENTS).filter("r is not null")
     strongest = top.groupBy(ENTITY).agg(
-        F.max_by(F.struct("metric", "r"), F.struct(F.abs("r").alias("a"), F.col("metric"))).alias("t")
+        F.max_by(F.struct("metric", "r"), F.struct(correlate.size(F.col("r")).alias("a"), F.col("metric"))).alias("t")
     ).select(ENTITY, F.col("t.metric").alias("strongest_nutrient"), F.col("t.r").alias("strongest_r"))
     figures = rollup.key_figures(enriched)
     return {
