@@ -49,6 +49,7 @@ VERBATIM = 0.8
 PARAPHRASE = 0.6
 BLOCK = 5_000  # benchmark items sent at once
 CHUNK_ROWS = 16  # sketch rows in one message
+TASK_BYTES = 8 << 20  # stored bytes behind one task of the sketch, at least
 # ASCII punctuation between words.
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _TABLE = bytes.maketrans(PUNCTUATION, b" " * len(PUNCTUATION))
@@ -117,6 +118,9 @@ def sketch(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray, int]:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary()), pa.array([n if k == 0 else 0 for k in range(len(sums))], pa.int64())], names=["at", "part", "n"])
 
     picked = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # Sums of a task are some megabytes however little it reads, so many small files are read together.
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    picked = picked.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, min(size // TASK_BYTES, 1 << 30)))
     schema = "at int, part binary, n long"
     # BUCKETS / CHUNK_ROWS sums of fixed size reach the driver, whatever the size of the corpus
     sums = picked.mapInArrow(local, schema).repartition("at").mapInArrow(add, schema).collect()
