@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from checks.oracle import BODIES, CTES, GROUP, oracle
+from checks.oracle import BODIES, CTES, GROUP, bias_sql, matrix_sql, oracle
 
 # Name, expression over the orders of a nation and day, and when it is missing: where (day of the year + shift) is a multiple of the step.
 COLUMNS = [
@@ -52,8 +52,11 @@ for name in list(CTES):
 for name, new in NAMES.items():
     if name not in BASE:
         CTES[new] = relabel(CTES[name], NAMES)
+# Bodies that ask for fewer pairs over the event panel.
+DEFAULT_COUNTS = {"bias_signal": bias_sql(11), "lag_matrix": matrix_sql("lagtrend")}
 for name in (
     "weekly_table", "weekly_decision", "weekly_activity", "session_week_pivot", "coverage_month", "adherence_insights", "bias_signal", "lag_matrix", "lag_summary",
 ):
     body, floats, ints, digits = BODIES[name]
+    body = DEFAULT_COUNTS.get(name, body)
     oracle(f"{name}_long", relabel(body, NAMES), floats, ints, digits)

@@ -392,11 +392,15 @@ def best_sql(src: str) -> str:
 
 
 oracle("lag_best", best_sql("lagall"), "best_r", "best_lag sample_size")
-oracle(
-    "lag_matrix",
-    "SELECT entity, metric, " + ", ".join(f"max(r) FILTER (WHERE lag = {k}) AS lag_{k}" for k in range(8)) + " FROM lagtrend GROUP BY entity, metric",
-    " ".join(f"lag_{k}" for k in range(8)), digits=5,
-)
+
+
+def matrix_sql(src: str) -> str:
+    return "SELECT entity, metric, " + ", ".join(f"max(r) FILTER (WHERE lag = {k}) AS lag_{k}" for k in range(8)) + f" FROM {src} GROUP BY entity, metric"
+
+
+# Event panels have at most 30 days, of which a lag of 7 and a target 7 days ahead leave few: fewer pairs are asked for than in the long panel.
+CTES["lag5trend"] = corr_sql("rin", LAG_METRICS, "trend_change_7d", 7, 5)
+oracle("lag_matrix", matrix_sql("lag5trend"), " ".join(f"lag_{k}" for k in range(8)), digits=5)
 CTES["lag8a"] = corr_sql("rin", LAG_METRICS, "weight_change", 7, 11)
 CTES["lag8b"] = corr_sql("rin", LAG_METRICS, "trend_change_7d", 7, 11)
 oracle("lag_two_targets", "SELECT *, 'change' AS target FROM lag8a UNION ALL SELECT *, 'trend' AS target FROM lag8b", "r")
@@ -493,13 +497,17 @@ oracle(
     f"row_number() OVER ({W}) - row_number() OVER (PARTITION BY entity, regime ORDER BY day) AS g FROM rg1) "
     "WHERE regime <> 'normal' GROUP BY entity, regime, g HAVING count(*) >= 4",
 )
-oracle(
-    "bias_signal",
-    "SELECT entity, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS n, CASE WHEN count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) >= 11 "
-    "THEN covar_pop(y, x) / nullif((stddev_pop(x) FILTER (WHERE y IS NOT NULL)) * (stddev_pop(y) FILTER (WHERE x IS NOT NULL)), 0) END AS r "
-    "FROM (SELECT entity, activity_proxy AS x, energy - tdee_adaptive AS y FROM rin WHERE back <= 30) GROUP BY entity",
-    "r",
-)
+
+
+def bias_sql(need: int) -> str:
+    return (
+        f"SELECT entity, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS n, CASE WHEN count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) >= {need} "
+        "THEN covar_pop(y, x) / nullif((stddev_pop(x) FILTER (WHERE y IS NOT NULL)) * (stddev_pop(y) FILTER (WHERE x IS NOT NULL)), 0) END AS r "
+        "FROM (SELECT entity, activity_proxy AS x, energy - tdee_adaptive AS y FROM rin WHERE back <= 30) GROUP BY entity"
+    )
+
+
+oracle("bias_signal", bias_sql(11), "r")
 SCATTER = {
     "sleep duration": "w_sleep_hours", "sleep score": "w_sleep_score", "stress": "w_avg_stress", "HRV": "w_hrv", "resting HR": "w_resting_hr",
     "body battery min": "w_body_battery_min",
