@@ -19,3 +19,8 @@ def short(spark, monkeypatch):
 def test_lag_matrix_needs_five_pairs(spark, short):
     rows = [r for r in queries.QUERIES["lag_matrix"](spark, "").collect() if any(v is not None for v in r[2:])]
     assert len(rows) == 1 and [v is not None for v in rows[0][2:]] == [k <= 5 for k in range(8)]
+
+
+def test_lag_two_targets_needs_eight_pairs(spark, short):
+    known = queries.QUERIES["lag_two_targets"](spark, "").where("r is not null").collect()
+    assert sorted((r["target"], r["lag"]) for r in known) == [(t, k) for t in ("change", "trend") for k in range(3)]
