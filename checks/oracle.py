@@ -507,7 +507,7 @@ def bias_sql(need: int) -> str:
     )
 
 
-oracle("bias_signal", bias_sql(11), "r")
+oracle("bias_signal", bias_sql(5), "r")
 SCATTER = {
     "sleep duration": "w_sleep_hours", "sleep score": "w_sleep_score", "stress": "w_avg_stress", "HRV": "w_hrv", "resting HR": "w_resting_hr",
     "body battery min": "w_body_battery_min",

@@ -24,3 +24,8 @@ def test_lag_matrix_needs_five_pairs(spark, short):
 def test_lag_two_targets_needs_eight_pairs(spark, short):
     known = queries.QUERIES["lag_two_targets"](spark, "").where("r is not null").collect()
     assert sorted((r["target"], r["lag"]) for r in known) == [(t, k) for t in ("change", "trend") for k in range(3)]
+
+
+def test_bias_signal_needs_five_pairs(spark, short):
+    row = queries.QUERIES["bias_signal"](spark, "").first()
+    assert row["n"] == 10 and row["r"] is not None
