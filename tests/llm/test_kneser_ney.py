@@ -83,3 +83,24 @@ def test_query_keeps_trusted_documents(spark):
     got = {r.doc_id: r.kept for r in QUERIES["op8_kneser_ney"](spark, sf).collect()}
     assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert np.mean([got[i] for i in good]) >= 0.95
+
+
+def test_scores_equal_the_recursion_over_whole_characters(spark, monkeypatch):
+    texts = ["the cat sat on the mat.", "A dog, a cat; 12 mice!", "the the THE end\n\nof it", "zebra", "бета БетА \U0001d400"]
+    new = [*texts, "a new dog sat there.", "Q?", "дум 345 \U0001d401", "#%$ @@"]
+    monkeypatch.setattr(K, "classes", lambda t: np.frombuffer(t.encode("utf-16-le"), "<u2").astype(np.int64))
+    monkeypatch.setattr(K, "A", 1 << 16)
+    p = plain_model(texts)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(new)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in K.perplexities(docs, *K.char_models(docs.where(f"doc_id < {len(texts)}").select("lang", "text"))).collect()}
+    for i, t in enumerate(new):
+        c = [39] * 3 + K.classes(t).tolist()
+        want = -sum(math.log(p(tuple(c[j : j + 4]))) for j in range(len(c) - 3)) / (len(c) - 3)
+        assert abs(got[i].log_ppl - want) < 1e-5 and got[i].n_chars == len(t) and got[i].model == "en"
+
+
+def test_characters_of_one_class_are_told_apart(spark):
+    good = [f"the quick brown fox number {i} jumps over the lazy dog" for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en", "", 1) for i, t in enumerate(good)] + [(99, good[3].upper().swapcase().replace("3", "٣"), "en", "", 1), (100, good[3], "en", "", 1)], SCHEMA)
+    got = {r.doc_id: r.perplexity for r in K.judge(docs, spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")).collect()}
+    assert got[100] == got[3] < got[99]
