@@ -192,8 +192,8 @@ def fit_labels(table: DataFrame, m: int, turns: int = 40) -> LabelModel:
     return model
 
 
-def looked(texts: list[str], lexicon: list[str]) -> Iterator[tuple[str, tuple[int, list[float]]]]:
-    """Each text with its votes and features.
+def looked(texts: list[str], lexicon: list[str]) -> Iterator[tuple[list[str], tuple[int, list[float]]]]:
+    """The words of each text with its votes and features.
 
     Votes: one bit a lexicon word, then the patterns.  Features: whether and how often each word occurs, and of the patterns.
     """
@@ -223,7 +223,7 @@ def looked(texts: list[str], lexicon: list[str]) -> Iterator[tuple[str, tuple[in
         for k, s in enumerate((*fired, total >= 2, total >= 4, aimed >= 1, shouted >= 1)):
             v |= int(s) << k
         each = [float(f) for f in fired] + [math.log1p(h) for h in hits]
-        yield t, (v, [*each, float(any(fired)), math.log1p(total), math.log1p(aimed), math.log1p(shouted), 100 * total / (len(words) + 20)])
+        yield words, (v, [*each, float(any(fired)), math.log1p(total), math.log1p(aimed), math.log1p(shouted), 100 * total / (len(words) + 20)])
 
 
 def looks(docs: DataFrame, lexicon: list[str], text: str = "text") -> DataFrame:
@@ -349,8 +349,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", parts: int = 5
         hashed, more, start, lexicon = sent.value
         known_words = memory(model_name, {})
         out: dict[str, list] = {"doc_id": batch.column(0), "score": [], "votes": []}
-        for t, (v, features) in looked(batch.column(1).to_pylist(), lexicon):
-            words = _words(t.lower())
+        for words, (v, features) in looked(batch.column(1).to_pylist(), lexicon):
             total = 0.0
             for x in words:
                 g = known_words.get(x)

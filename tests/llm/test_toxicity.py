@@ -86,3 +86,12 @@ def test_nulls_repeats_long_and_empty(spark):
         by = {r.doc_id: r.score for r in got}
         assert len(got) == 5 and by[None] == by[1] and by[2] > by[3]
     assert T.score(docs.limit(0), labels).count() == 0
+
+
+def test_a_text_is_split_into_words_once(monkeypatch):
+    from daypanel.llm import toxicity
+
+    seen, split = [], toxicity._words
+    monkeypatch.setattr(toxicity, "_words", lambda t: seen.append(t) or split(t))
+    got = [words for words, _ in toxicity.looked(["You Idiot, go", ""], ["idiot", "idi*"])]
+    assert got == [["you", "idiot", "go"], []] and seen == ["you idiot, go", ""]
