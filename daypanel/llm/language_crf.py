@@ -70,36 +70,41 @@ def emissions(words: list[str], crf: Crf) -> np.ndarray:
     return np.add.reduceat(flat, np.r_[0, np.cumsum(sizes)[:-1]], axis=0) if len(got) else np.zeros((0, len(crf.languages)), np.float32)
 
 
-def posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, moving: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Forward-backward over many sequences at once.
 
     ``scores`` holds the words of all sequences one after another.  Step t works on every sequence that has a word t, so
-    the loop runs as often as the longest sequence is long.  Returns posteriors in the order of ``scores`` and the sum of
-    posterior moves (language × language).
+    the loop runs as often as the longest sequence is long; words of a step lie together, longer sequences first.  Returns posteriors in the
+    order of ``scores`` and the sum of posterior moves (language × language), which stays zero without ``moving``.
     """
     order = np.argsort(-lengths, kind="stable")
     starts = (np.cumsum(lengths) - lengths)[order]
     sizes = lengths[order]
     steps = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(1, steps + 1), side="right")
-    x = np.exp(scores - scores.max(1, keepdims=True)) + 1e-30
+    begin = np.cumsum(active) - active
+    at = starts[np.arange(active.sum()) - np.repeat(begin, active)] + np.repeat(np.arange(steps), active)
+    x = (np.exp(scores - scores.max(1, keepdims=True)) + 1e-30)[at]
     a = np.exp(moves - moves.max())
     fore = np.empty_like(x)
     for t in range(steps):
-        at = starts[: active[t]] + t
-        f = x[at] if t == 0 else (fore[at - 1] @ a) * x[at]
-        fore[at] = f / f.sum(1, keepdims=True)
+        here = slice(begin[t], begin[t] + active[t])
+        f = x[here] if t == 0 else (fore[begin[t - 1] : begin[t - 1] + active[t]] @ a) * x[here]
+        fore[here] = f / f.sum(1, keepdims=True)
     back = np.ones_like(x)
     moved = np.zeros_like(a)
     for t in range(steps - 2, -1, -1):
-        at = starts[: active[t + 1]] + t
-        nxt = x[at + 1] * back[at + 1]
+        here, there = (slice(begin[s], begin[s] + active[t + 1]) for s in (t, t + 1))
+        nxt = x[there] * back[there]
         b = nxt @ a.T
-        total = (fore[at] * b).sum(1, keepdims=True)
-        moved += a * (fore[at].T @ (nxt / total))
-        back[at] = b / b.sum(1, keepdims=True)
+        if moving:
+            total = (fore[here] * b).sum(1, keepdims=True)
+            moved += a * (fore[here].T @ (nxt / total))
+        back[here] = b / b.sum(1, keepdims=True)
     p = fore * back
-    return p / p.sum(1, keepdims=True), moved
+    out = np.empty_like(p)
+    out[at] = p / p.sum(1, keepdims=True)
+    return out, moved
 
 
 def long_posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, piece: int = PIECE, context: int = CONTEXT) -> np.ndarray:
@@ -109,7 +114,7 @@ def long_posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
     backward together, so one very long text takes no more steps than a piece.
     """
     if not len(lengths) or lengths.max() <= piece + context:
-        return posteriors(scores, lengths, moves)[0]
+        return posteriors(scores, lengths, moves, moving=False)[0]
     firsts = np.cumsum(lengths) - lengths
     counts = -(-lengths // piece)
     of = np.repeat(np.arange(len(lengths)), counts)
@@ -119,7 +124,7 @@ def long_posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
     sizes = right - left
     at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - left, sizes)  # place in its text
     own = (at >= np.repeat(begin, sizes)) & (at < np.repeat(end, sizes))
-    return posteriors(scores[np.repeat(firsts[of], sizes) + at], sizes, moves)[0][own]
+    return posteriors(scores[np.repeat(firsts[of], sizes) + at], sizes, moves, moving=False)[0][own]
 
 
 def is_held_out(doc_id: Column, parts: int = 4, rest: int = 2) -> Column:
@@ -252,13 +257,15 @@ def fit(labelled: DataFrame, sample: int = 300, rounds: int = 3, steps: int = 8,
 def sequence_scores(texts: list[list[str]], crf: Crf, known: dict) -> np.ndarray:
     """Emission scores of all words of the texts in order; a worker remembers the scores of words."""
     flat = [w for t in texts for w in t]
-    new = list({w for w in flat if w not in known})
+    places = list(map(known.get, flat))
     table = known.setdefault("", np.zeros((0, len(crf.languages)), np.float32))
-    if new:
+    if None in places:
+        new = list({w for w, i in zip(flat, places, strict=True) if i is None})
         at = len(table)
         known.update(zip(new, range(at, at + len(new)), strict=True))
         table = known[""] = np.vstack([table, emissions(new, crf)])
-    return table[np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))]
+        places = list(map(known.__getitem__, flat))
+    return table[np.array(places, np.int64)]
 
 
 def label(docs: DataFrame, crf: Crf | None, text: str = "text", words: bool = False) -> DataFrame:

@@ -87,3 +87,12 @@ def test_one_very_long_text(spark):
     crf = L.fit(spark.createDataFrame([(i, f"the words number {i} are plain", "en") for i in range(20)] + [(100 + i, f"die wörter nummer {i} sind klar", "de") for i in range(20)], "doc_id long, text string, lang string"))
     row = L.label(docs, crf).first()
     assert row.n_words == 8 * 150_000 and row.lang_pred == "en"
+
+
+def test_posteriors_without_moves_are_the_same():
+    rng = np.random.default_rng(4)
+    lengths = np.array([3, 1, 7, 7, 2])
+    scores, moves = rng.normal(size=(lengths.sum(), 3)), rng.normal(size=(3, 3))
+    with_moves, moved = L.posteriors(scores, lengths, moves)
+    without, none = L.posteriors(scores, lengths, moves, moving=False)
+    assert np.array_equal(with_moves, without) and moved.any() and not none.any()
