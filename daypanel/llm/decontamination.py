@@ -64,6 +64,11 @@ def hashed(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)).astype(np.int64)
 
 
+def columns_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Columns of ``x`` at places known to lie within it, which numpy gathers some three times faster without its range check."""
+    return np.take(x, at, axis=1, mode="clip")
+
+
 def test_matrix() -> np.ndarray:
     return np.random.default_rng(7).standard_normal((COLUMNS, BUCKETS)).astype(np.float32)
 
@@ -95,11 +100,12 @@ def sketch(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray, int]:
                 sids = ids[order]
                 cuts = np.flatnonzero(np.r_[True, sids[1:] != sids[:-1]])
                 rows = sids[cuts]
+                sof = of[order]
                 for c in range(0, COLUMNS, 24):  # some columns at a time, a bound on memory
-                    x = np.add.reduceat(np.take(om[c : c + 24], ids, axis=1), starts, axis=1)
-                    total[c : min(c + 24, COLUMNS), rows] += np.add.reduceat(np.take(x, of[order], axis=1), cuts, axis=1)
+                    x = np.add.reduceat(columns_at(om[c : c + 24], ids), starts, axis=1)
+                    total[c : min(c + 24, COLUMNS), rows] += np.add.reduceat(columns_at(x, sof), cuts, axis=1)
                 # passages that hold the bucket: a word counts once in its passage
-                fresh = np.r_[True, (sids[1:] != sids[:-1]) | (of[order][1:] != of[order][:-1])]
+                fresh = np.r_[True, (sids[1:] != sids[:-1]) | (sof[1:] != sof[:-1])]
                 total[COLUMNS, rows] += np.add.reduceat(fresh.astype(np.float32), cuts)
         if passages:
             blocks = np.ascontiguousarray(total.T).reshape(-1, CHUNK_ROWS * (COLUMNS + 1))
@@ -305,7 +311,7 @@ def matches_of(group: list[int], texts: list[list[bytes]], vectors: np.ndarray,
     firsts = np.cumsum(sizes) - sizes
     steps = -(-sizes // STRIDE)  # half passages of each text
     starts = np.concatenate([np.arange(f, f + n, STRIDE) for f, n in zip(firsts, sizes, strict=True)])
-    half = np.add.reduceat(np.take(vectors, hashes & (BUCKETS - 1), axis=1), starts, axis=1).T
+    half = np.add.reduceat(columns_at(vectors, hashes & (BUCKETS - 1)), starts, axis=1).T
     row_of = np.repeat(np.arange(len(group)), steps)
     whole = half.copy()
     same = row_of[:-1] == row_of[1:]

@@ -96,3 +96,13 @@ def test_recall_of_the_cosine_filter(spark):
         with_filter, without = ({(r.doc_id, r.item_id) for r in D.search(d, b, vectors, cosine=c).collect()} for c in (D.COSINE, -2.0))
         assert len(without) >= 40 and with_filter <= without
         assert len(with_filter) >= 0.98 * len(without)
+
+
+def test_columns_are_gathered_without_the_range_check(monkeypatch):
+    import numpy as np
+    from daypanel.llm import decontamination
+
+    modes, take = [], np.take
+    monkeypatch.setattr(np, "take", lambda *a, **k: modes.append(k.get("mode")) or take(*a, **k))
+    x = np.arange(12, dtype=np.float32).reshape(3, 4)
+    assert np.array_equal(decontamination.columns_at(x, np.array([3, 0, 0])), x[:, [3, 0, 0]]) and modes == ["clip"]
