@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .bpe import memory, merge, splitter, tiktoken_ranks
 from .common import in_batches, stored
 
+STEP = 2 << 20  # bytes of text whose ids are Python objects at one time
 CHUNK = 32_768  # code points
 OVERLAP = 512
 
@@ -57,7 +58,7 @@ def encode_pieces(df: DataFrame, sent: Broadcast, name: str) -> DataFrame:
         }
 
     kinds = dict(df.dtypes)
-    return in_batches(df.select(*carried, "piece"), work, ", ".join(f"{c} {kinds[c]}" for c in carried) + ", ids binary, decoded binary")
+    return in_batches(df.select(*carried, "piece"), work, ", ".join(f"{c} {kinds[c]}" for c in carried) + ", ids binary, decoded binary", STEP)
 
 
 def cut(long: DataFrame, chunk: int, overlap: int) -> DataFrame:

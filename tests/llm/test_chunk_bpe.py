@@ -56,3 +56,12 @@ def test_one_very_long_text(spark):
     text = "naïve words, 123 and 漢字…  " * 400_000
     row = B.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).first()
     assert bytes(row.decoded).decode() == text and row.n_tokens * 4 == len(row.ids)
+
+
+def test_few_megabytes_of_texts_are_encoded_at_a_time(spark, monkeypatch):
+    from daypanel.llm import chunk_bpe
+
+    seen, batches = [], chunk_bpe.in_batches
+    monkeypatch.setattr(chunk_bpe, "in_batches", lambda df, work, schema, *step: seen.append(step) or batches(df, work, schema, *step))
+    chunk_bpe.encode_pieces(spark.createDataFrame([(1, "a b")], "doc_id long, piece string"), None, "x")
+    assert seen == [(2 << 20,)]
