@@ -34,6 +34,7 @@ BUCKETS = 1 << 16  # hashed feature weights
 LEXICON = 3_000  # words per language
 SEGMENT = 48  # words in a training sequence
 PIECE, CONTEXT = 1024, 64  # words of a piece of a long text, and words that it sees beside them
+BLOCK = 8_192  # words whose features are hashed together
 LONGEST = 40  # letters of an element of the chain: longer runs, such as those of scripts without spaces, are several elements
 _words = regex.compile(rf"\p{{L}}[\p{{L}}\p{{M}}]{{0,{LONGEST - 1}}}").findall
 
@@ -62,12 +63,77 @@ def features(word: str, lexicon: dict[str, int]) -> list[int]:
     return [zlib.crc32(x.encode()) & (BUCKETS - 1) for x in names]
 
 
+def crc_table() -> np.ndarray:
+    """CRC-32 of zlib, by the low byte of its register."""
+    t = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        t = np.where(t & 1, (t >> 1) ^ np.uint32(0xEDB88320), t >> 1)
+    return t
+
+
+_CRC, _LEADS = crc_table(), np.array([0, 0xC0, 0xE0, 0xF0], np.uint32)
+_START, _PREFIX, _SUFFIX = (np.uint32(~zlib.crc32(x) & 0xFFFFFFFF) for x in (b"", b"p", b"s"))
+
+
+def lengthened(crc: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """CRC-32 registers after one more code point each, by its UTF-8 bytes."""
+    lead, wide = points, np.flatnonzero(points > 0x7F)
+    if len(wide):
+        c = points[wide]
+        more = 1 + (c > 0x7FF) + (c > 0xFFFF)  # bytes after the first
+        lead = points.copy()
+        lead[wide] = _LEADS[more] | (c >> (6 * more).astype(np.uint32))
+    out = _CRC[(crc ^ lead) & 0xFF] ^ (crc >> 8)
+    if len(wide):
+        for left in (2, 1, 0):
+            at = wide[more > left]
+            byte = 0x80 | ((points[at] >> (6 * left)) & 0x3F)
+            out[at] = _CRC[(out[at] ^ byte) & 0xFF] ^ (out[at] >> 8)
+    return out
+
+
+def feature_rows(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`features` of many words, one after another, and how many each has; hashed together, a code point a step."""
+    marked = [f"^{w}$" for w in words]
+    points = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
+    n = np.fromiter(map(len, marked), np.int64, len(marked))
+    first = np.cumsum(n) - n
+    known = np.fromiter((lexicon.get(w, -1) for w in words), np.int64, len(words))
+    sizes = 7 + (n - 1) + (n - 2) + (known >= 0)
+    begin = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.uint32)
+    out[begin] = np.fromiter(map(zlib.crc32, map(str.encode, marked)), np.uint32, len(marked)) ^ np.uint32(0xFFFFFFFF)
+    # A word of one letter has no third place: its longest prefix and suffix are those of two.
+    third = n > 3
+    crc = _PREFIX
+    for k in (1, 2):
+        crc = out[begin + k] = lengthened(crc, points[first + k])
+    out[begin + 3] = np.where(third, lengthened(crc, points[first + np.minimum(3, n - 1)]), crc)
+    end = first + n - 1  # the closing mark
+    for k in (1, 2, 3):
+        crc = _SUFFIX
+        for back in range(k, 0, -1):
+            longer = lengthened(np.broadcast_to(crc, n.shape), points[np.maximum(end - back, first)])
+            crc = np.where(third, longer, crc) if back == 3 else longer
+        out[begin + 3 + k] = crc
+    place = np.arange(len(points)) - np.repeat(first, n)
+    crc = lengthened(np.broadcast_to(_START, points.shape), points)
+    for k, skipped in ((2, 0), (3, n - 1)):
+        crc = lengthened(crc[:-1], points[k - 1 :])
+        whole = place[: len(crc)] <= np.repeat(n - k, n)[: len(crc)]
+        out[(np.repeat(begin + 7 + skipped, n) + place)[: len(crc)][whole]] = crc[whole]
+    at = np.flatnonzero(known >= 0)
+    out[(begin + sizes - 1)[at]] = np.array([zlib.crc32(f"lexicon {x}".encode()) for x in known[at]], np.uint32) ^ np.uint32(0xFFFFFFFF)
+    return (out ^ np.uint32(0xFFFFFFFF)) & np.uint32(BUCKETS - 1), sizes
+
+
 def emissions(words: list[str], crf: Crf) -> np.ndarray:
     """Scores (words × languages) of distinct words, by their summed feature weights."""
-    got = [features(w, crf.lexicon) for w in words]
-    sizes = np.fromiter(map(len, got), np.int64, len(got))
-    flat = crf.weights[np.fromiter((i for x in got for i in x), np.int64, int(sizes.sum()))]
-    return np.add.reduceat(flat, np.r_[0, np.cumsum(sizes)[:-1]], axis=0) if len(got) else np.zeros((0, len(crf.languages)), np.float32)
+    scores = [np.zeros((0, len(crf.languages)), np.float32)]
+    for start in range(0, len(words), BLOCK):
+        rows, sizes = feature_rows(words[start : start + BLOCK], crf.lexicon)
+        scores.append(np.add.reduceat(crf.weights[rows], np.cumsum(sizes) - sizes, axis=0))
+    return np.concatenate(scores)
 
 
 def posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, moving: bool = True) -> tuple[np.ndarray, np.ndarray]:
