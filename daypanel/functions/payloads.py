@@ -69,8 +69,13 @@ def list_at(v: Column, paths: Sequence[Path], bare: bool = True) -> Column:
     return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), chosen) if bare else chosen
 
 
+def is_object(v: Column) -> Column:
+    """Whether a variant is an object; the struct without fields copies none of its values."""
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
+
+
 def objects_only(items: Column) -> Column:
-    return F.filter(items, lambda i: F.try_variant_get(i, "$", "map<string,variant>").isNotNull())
+    return F.filter(items, is_object)
 
 
 def has_key(v: Column, key: str) -> Column:

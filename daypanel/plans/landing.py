@@ -12,6 +12,8 @@ from daypanel.plans import panels
 from daypanel.sources.tables import INTAKE_HEADERS
 
 HOUSEHOLDS = 12  # an export belongs to a household of several users, whose records of a day compete
+# Ids whose records one file of a household may hold: a month of 2,000 users, or 25,000 sessions, is some ten megabytes, however many there are.
+USERS_A_FILE, EVENTS_A_FILE = 24_000, 300_000
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -48,7 +50,11 @@ def days_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_export(spark: SparkSession, sf_dir: str) -> str:
-    """An export of every household: files of JSON arrays, two of each kind, with records in the order of day and user."""
+    """An export of every household: files of JSON arrays of a bounded size, with records in the order of day and user.
+
+    Files of a kind come in two series, of which the second wins; the files of a series follow each other by user, then by month, so records of
+    a day compete as if each series were one file.
+    """
     root = new_folder(spark, "export")
     d, c = days_of_users(spark, sf_dir), F.col
     odd = c("user") % 2 == 1
@@ -85,7 +91,7 @@ def write_export(spark: SparkSession, sf_dir: str) -> str:
         )),
     }
     texts = [
-        rows.groupBy("household", file_number().alias("n")).agg(json_array(F.sort_array(F.collect_list(F.struct(DAY, "user", record.alias("record"))))).alias("value"))
+        rows.groupBy("household", file_number(F.col("user"), USERS_A_FILE).alias("n")).agg(json_array(F.sort_array(F.collect_list(F.struct(DAY, "user", record.alias("record"))))).alias("value"))
         .select("household", F.lit(name).alias("name"), "n", "value")
         for name, (rows, record) in records.items()
     ]
@@ -93,7 +99,7 @@ def write_export(spark: SparkSession, sf_dir: str) -> str:
     files = texts[0]
     for t in texts[1:]:
         files = files.unionByName(t)
-    full = F.replace("name", F.lit("{}"), c("n").cast("string"))
+    full = F.replace("name", F.lit("{}"), c("n"))
     files = files.select(
         c("household").cast("string").alias("entity"), F.substring_index(full, "/", 1).alias("folder"), F.substring_index(full, "/", -1).alias("file"), "value",
     )
@@ -101,9 +107,11 @@ def write_export(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def file_number() -> Column:
-    """Which of a household's two files holds a record; the second one wins."""
-    return F.when(F.col("user") % 5 < 3, 1).otherwise(2)
+def file_number(number: Column, ids: int) -> Column:
+    """Which of a household's files holds a record: the series, the block of ids in their order, the month."""
+    series = F.when(F.col("user") % 5 < 3, "1").otherwise("2")
+    block = F.coalesce(F.floor(number / ids), F.lit(0)) + F.lit(10**15)  # as many digits for every id, negative ones too
+    return F.concat_ws("-", series, block.cast("string"), F.coalesce(F.date_format(DAY, "yyyy-MM"), F.lit("undated")))
 
 
 def json_array(sorted_records: Column) -> Column:
@@ -113,7 +121,7 @@ def json_array(sorted_records: Column) -> Column:
 def session_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as exported sessions: times as epoch milliseconds, epoch seconds or text, some without any."""
     c = F.col
-    events = panels.table(spark, sf_dir, "events").withColumns({"user": c("user_id"), "household": c("user_id") % HOUSEHOLDS})
+    events = panels.table(spark, sf_dir, "events").withColumns({"user": c("user_id"), "household": c("user_id") % HOUSEHOLDS, DAY: c("ts").cast("date")})
     kind = F.lit(None).cast("string")
     for event, name in panels.SESSION_OF_EVENT.items():
         kind = F.when(c("event_type") == event, name).otherwise(kind)
@@ -129,7 +137,7 @@ def session_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.when(stamp.isNull(), fields).otherwise(F.concat(F.lit('{"startTimeLocal":'), stamp, F.lit(","), F.substring(fields, F.lit(2), F.length(fields))))
     listed = F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", record.alias("record")))), lambda x: x["record"])
     value = F.concat(F.lit('[{"summarizedActivitiesExport":['), F.array_join(listed, ","), F.lit("]}]"))
-    return events.groupBy("household", file_number().alias("n")).agg(value.alias("value")).select(
+    return events.groupBy("household", file_number(c("event_id"), EVENTS_A_FILE).alias("n")).agg(value.alias("value")).select(
         "household", F.lit("DI-Connect-Fitness/{}_summarizedActivities.json").alias("name"), "n", "value"
     )
 

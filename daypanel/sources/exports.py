@@ -59,7 +59,7 @@ def export_records(spark: SparkSession, root: str, kind: str) -> DataFrame:
     as_list = F.try_variant_get("v", "$", "array<variant>")
     items = F.coalesce(as_list, F.array("v"))
     return files.select(ENTITY, "file", F.posexplode(items).alias("pos", "rec")).filter(
-        F.try_variant_get("rec", "$", "map<string,variant>").isNotNull()
+        pl.is_object(F.col("rec"))
     )
 
 
@@ -79,15 +79,25 @@ def calendar_day() -> Column:
     return F.to_date(F.try_to_timestamp(F.nullif(text_at("calendarDate"), F.lit(""))))
 
 
-def timestamp_at(*path: str) -> Column:
-    """A JSON number is an epoch, JSON text is ISO text."""
-    kind = F.schema_of_variant(F.try_variant_get("rec", pl.path_text(path), "variant"))
-    is_text = kind == "STRING"
-    return any_timestamp(F.when(~is_text, number_at(*path)), F.when(is_text, text_at(*path)))
+def with_timestamps(rows: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Columns of UTC timestamps from fields of a record: a JSON number is an epoch, JSON text is ISO text.
+
+    Text and kind of a field become columns first: an expression that names them many times would read the record as often.
+    """
+    kind = lambda f: F.schema_of_variant(F.try_variant_get("rec", pl.path_text((f,)), "variant"))
+    rows = rows.withColumns({f"_text_{c}": text_at(f) for c, f in fields.items()} | {f"_is_text_{c}": kind(f) == "STRING" for c, f in fields.items()})
+    moment = lambda text, is_text: any_timestamp(F.when(~is_text, pl.number(text)), F.when(is_text, text))
+    rows = rows.withColumns({c: moment(F.col(f"_text_{c}"), F.col(f"_is_text_{c}")) for c in fields})
+    return rows.drop(*(f"_text_{c}" for c in fields), *(f"_is_text_{c}" for c in fields))
+
+
+def with_day(rows: DataFrame, day: Column) -> DataFrame:
+    """The dated rows and their day, which is computed once: as a generated column its filter does not compute it again."""
+    return rows.select("*", F.explode_outer(F.array(day)).alias(DAY)).filter(F.col(DAY).isNotNull())
 
 
 def by_calendar_day(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    rows = export_records(spark, root, kind).withColumn(DAY, calendar_day()).filter(F.col(DAY).isNotNull())
+    rows = with_day(export_records(spark, root, kind), calendar_day())
     return keep_last(rows, KEYS, [F.col("file"), F.col("pos")])
 
 
@@ -144,8 +154,8 @@ def sleep_days(spark: SparkSession, root: str) -> DataFrame:
 def fitness_days(spark: SparkSession, root: str) -> DataFrame:
     """Keyed by the first of two dates that is given; one that does not parse drops the record."""
     first = F.nullif(text_at("asOfDateGmt"), F.lit(""))
-    when = F.when(first.isNotNull(), timestamp_at("asOfDateGmt")).otherwise(timestamp_at("rhrLastEntryDate"))
-    rows = export_records(spark, root, "fitness").withColumn(DAY, F.to_date(when)).filter(F.col(DAY).isNotNull())
+    rows = with_timestamps(export_records(spark, root, "fitness"), {"_as_of": "asOfDateGmt", "_last_entry": "rhrLastEntryDate"})
+    rows = with_day(rows, F.to_date(F.when(first.isNotNull(), F.col("_as_of")).otherwise(F.col("_last_entry")))).drop("_as_of", "_last_entry")
     rows = keep_last(rows, KEYS, [F.col("file"), F.col("pos")])
     return rows.select(*KEYS, number_at("rhr").alias("rest_fitness"))
 
@@ -162,7 +172,7 @@ def health_days(spark: SparkSession, root: str) -> DataFrame:
 def wellness_days(spark: SparkSession, root: str) -> DataFrame:
     """Of several snapshots of a day the one with the longest list; ties to the later one."""
     entries = typed_at(("summaryTypeDataList",), WELLNESS_TYPE)
-    rows = export_records(spark, root, "wellness").withColumn(DAY, calendar_day()).filter(F.col(DAY).isNotNull())
+    rows = with_day(export_records(spark, root, "wellness"), calendar_day())
     rows = rows.withColumn("entries", entries)
     size = F.coalesce(F.size("entries"), F.lit(0))
     rows = keep_last(rows, KEYS, [size, F.col("file"), F.col("pos")])
@@ -182,10 +192,10 @@ def export_sessions(spark: SparkSession, root: str) -> DataFrame:
     containers = export_records(spark, root, "sessions").select(
         ENTITY, F.explode(pl.objects_only(F.try_variant_get("rec", "$['summarizedActivitiesExport']", "array<variant>"))).alias("rec")
     )
-    moment = F.coalesce(timestamp_at("startTimeLocal"), timestamp_at("beginTimestamp"), timestamp_at("startTimeGmt"))
+    containers = with_timestamps(containers, {"_local": "startTimeLocal", "_begin": "beginTimestamp", "_gmt": "startTimeGmt"})
+    rows = with_day(containers, F.to_date(F.coalesce("_local", "_begin", "_gmt")))
     iso = lambda ts: F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
-    start = F.coalesce(iso(timestamp_at("startTimeLocal")), iso(timestamp_at("startTimeGmt")))
-    rows = containers.withColumn(DAY, F.to_date(moment)).filter(F.col(DAY).isNotNull())
+    start = F.coalesce(iso("_local"), iso("_gmt"))
     seconds = number_at("duration") / 1000.0
     given = {
         "session_name": F.nullif(F.trim(text_at("name")), F.lit("")),
